@@ -1,13 +1,10 @@
-"""Schemas of the source tables and of the run log."""
+"""Schemas of the source tables and of the run log, as DDL strings."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
-
-def _schema(**columns: str) -> T.StructType:
-    fields = [f"`{name}` {kind}" for name, kind in columns.items()]
-    return T.StructType.fromDDL(", ".join(fields))
+def _schema(**columns: str) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
 
 
 SUBSCRIPTIONS = _schema(
@@ -56,8 +53,10 @@ RATE_HISTORY = _schema(
 RATE_MAPPING = _schema(
     rate_key_value="string", rate_key_system="string", monthly_price="string",
 )
-RUN_LOG = _schema(
+_RUN_LOG = dict(
     execution_timestamp="string", run_date="string", target_table="string", sql_file="string",
     row_count="bigint", null_percentage="double", row_count_passed="boolean",
     nulls_passed="boolean",
 )
+RUN_LOG = _schema(**_RUN_LOG)
+RUN_LOG_FIELDS = tuple(_RUN_LOG)

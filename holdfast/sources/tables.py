@@ -11,9 +11,8 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from holdfast.schemas import RUN_LOG
+from holdfast.schemas import RUN_LOG, RUN_LOG_FIELDS
 
 _ABSENT = {
     "PATH_NOT_FOUND",
@@ -54,12 +53,12 @@ def run_query(spark: SparkSession, query: str, run_date: dt.date, **tables: Data
     return spark.sql(query, args={"run_date": run_date}, **tables)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def append_csv(
-    spark: SparkSession, files: str | list[str], schema: T.StructType, table: str
+    spark: SparkSession, files: str | list[str], schema: str, table: str
 ) -> None:
     """Load CSV files with a fixed schema and append them to a table."""
     read_csv(spark, files, schema).write.mode("append").parquet(table)
@@ -127,7 +126,7 @@ def snapshot(
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: str | None = None
 ) -> DataFrame:
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
@@ -140,7 +139,7 @@ def append_run_record(spark: SparkSession, log: str, record: Mapping[str, Any])
     """Append one run record; fields left out are written as missing."""
     row = {"execution_timestamp": dt.datetime.now().isoformat(), **record}
     row["sql_file"] = row["sql_file"].rsplit("/", 1)[-1]
-    values = tuple(row.get(name) for name in RUN_LOG.fieldNames())
+    values = tuple(row.get(name) for name in RUN_LOG_FIELDS)
     spark.createDataFrame([values], RUN_LOG).coalesce(1).write.mode("append").json(log)
 
 
