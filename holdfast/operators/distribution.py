@@ -23,8 +23,7 @@ def distribution_summary(
     df: DataFrame, fields: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
     """One row per group and numeric field: quality, moments, percentiles, outliers."""
-    counts = value_counts(df, keys, fields)
-    return _summarize(counts, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")), fields, keys)
+    return _summarize(value_counts(df, keys, fields, keep_missing=True), fields, keys)
 
 
 def population_summaries(
@@ -41,44 +40,41 @@ def population_summaries(
     tagged = labelled.withColumn("memberships", F.array_compact(names)).where(
         F.size("memberships") > 0
     )
-    spread = F.explode("memberships").alias("population")
     counts = (
-        value_counts(tagged, ["memberships"], fields)
-        .select(spread, "metric", "value", "n")
+        value_counts(tagged, ["memberships"], fields, keep_missing=True)
+        .select(F.explode("memberships").alias("population"), "metric", "value", "n")
         .groupBy("population", "metric", "value")
         .agg(F.sum("n").alias("n"))
     )
-    rows = (
-        tagged.groupBy("memberships")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(spread, "rows")
-        .groupBy("population")
-        .agg(F.sum("rows").alias("row_count"))
-    )
-    return _summarize(counts, rows, fields, ["population"])
+    return _summarize(counts, fields, ["population"])
 
 
-def _summarize(
-    counts: DataFrame, rows: DataFrame, fields: Sequence[str], keys: Sequence[str]
-) -> DataFrame:
-    """Summary of counted values; `rows` gives each group's row count."""
+def _summarize(all_counts: DataFrame, fields: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Summary of counted values, the missing ones included."""
     group = [*keys, "metric"]
-    weighted = "sum(value * n)"
-    mean = f"({weighted} / sum(n))"
-    basics = counts.groupBy(*group).agg(
+    counts = all_counts.where(F.col("value").isNotNull())
+    basics = all_counts.groupBy(*group).agg(
+        F.sum("n").alias("row_count"),
         F.expr("sum(if(value = 0, n, 0))").alias("zero_count"),
         F.expr("sum(if(value < 0, n, 0))").alias("negative_count"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.expr(mean).alias("mean"),
+        F.expr("try_divide(sum(value * n), sum(if(value is null, 0, n)))").alias("mean"),
     )
+    if not keys:
+        # An empty frame still reports every field.
+        listed = all_counts.sparkSession.createDataFrame([(f,) for f in fields], "metric string")
+        basics = F.broadcast(listed).join(basics, "metric", "left").fillna(
+            0, ["row_count", "zero_count", "negative_count"]
+        )
     quantiles = order_statistics(counts, group, SUMMARY_PERCENTILES).select(
         *group,
         F.col("n").alias("non_null_count"),
         *[interpolate(p).alias(p) for p in SUMMARY_PERCENTILES],
     )
     fenced = (
-        null_safe_join(basics, quantiles, group)
+        null_safe_join(basics, quantiles, group, "left")
+        .fillna(0, ["non_null_count"])
         .withColumn("iqr", F.col("p75") - F.col("p25"))
         .withColumns(
             {
@@ -99,12 +95,7 @@ def _summarize(
             ),
         )
     )
-    stats = null_safe_join(fenced, spread, group)
-    # Every field appears for every group, also one without any value.
-    grid = rows.withColumn("metric", F.explode(F.array(*[F.lit(f) for f in fields])))
-    full = null_safe_join(grid, stats, group, "left").fillna(
-        0, ["non_null_count", "zero_count", "negative_count", "outlier_count"]
-    )
+    full = null_safe_join(fenced, spread, group, "left").fillna(0, ["outlier_count"])
     return full.select(
         *keys,
         F.col("metric").alias("field"),

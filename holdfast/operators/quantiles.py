@@ -33,18 +33,21 @@ SUMMARY_PERCENTILES = {
 }
 
 
-def melt(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """One row per (row, metric) with a non-missing double `value`."""
+def melt(
+    df: DataFrame, ids: Sequence[str], metrics: Sequence[str], keep_missing: bool = False
+) -> DataFrame:
+    """One row per (row, metric) with a double `value`, missing ones left out."""
     picked = df.select(*ids, *[nan_to_null(m).alias(m) for m in metrics])
-    return picked.unpivot(list(ids), list(metrics), "metric", "value").where(
-        F.col("value").isNotNull()
-    )
+    long = picked.unpivot(list(ids), list(metrics), "metric", "value")
+    return long if keep_missing else long.where(F.col("value").isNotNull())
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+def value_counts(
+    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], keep_missing: bool = False
+) -> DataFrame:
     """Rows per (keys, metric, value): the compressed form all quantiles start from."""
     return (
-        melt(df, keys, metrics)
+        melt(df, keys, metrics, keep_missing)
         .groupBy(*keys, "metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -37,10 +37,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/holdfast/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, for small results that several plans reuse."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a result that several plans reuse, and read it back.
+
+    Later plans then start from a table: they prune its columns, know its size,
+    do not repeat the work before it, and survive lost executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.dates import inference_date
 from holdfast.operators.population import label_population, subset
+from holdfast.plans.experiment import ExperimentTables, linked_assignments, outcomes
+from holdfast.sources.tables import stage
 
 OVERRIDES = {dt.date(2024, 1, 17): dt.date(2024, 1, 7)}
 RUN_DATE = dt.date(2024, 1, 10)
@@ -291,6 +293,26 @@ class Views:
     def analysis(self) -> DataFrame:
         return subset(self.labelled, "analysis")
 
+    @cached_property
+    def staged_analysis(self) -> DataFrame:
+        """For analyses that read the population several times."""
+        return stage(self.analysis, "analysis")
+
+    @cached_property
+    def tables(self) -> ExperimentTables:
+        return ExperimentTables(
+            self.applied, self.link, self.risk_source, self.calls, self.online,
+            self.start_stop, self.features, self.payments,
+        )
+
+    @cached_property
+    def linked(self) -> DataFrame:
+        return linked_assignments(self.tables, OVERRIDES)
+
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        return outcomes(self.tables, self.linked)
+
     @cached_property
     def run_log(self) -> DataFrame:
         """Run records: one per event day and type."""

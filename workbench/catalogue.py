@@ -24,10 +24,10 @@ from holdfast.operators import (
     revenue,
 )
 from holdfast.operators.intervals import effective_join
-from holdfast.plans import incremental
+from holdfast.plans import experiment, incremental
 from holdfast.schemas import CALL_CENTER
 from holdfast.sources import cohort, tables, web
-from holdfast.sources.tables import materialize, scratch_path
+from holdfast.sources.tables import scratch_path, stage
 from workbench.adapter import (
     CUTOFF,
     MARKET_RULES,
@@ -387,7 +387,7 @@ def _assigned(v: Views) -> DataFrame:
 
 
 def _linked(v: Views) -> DataFrame:
-    return outcome.link_subscriptions(_assigned(v), v.link, v.risk_source)
+    return v.linked
 
 
 def _base(v: Views) -> DataFrame:
@@ -399,9 +399,7 @@ def _classified(v: Views) -> DataFrame:
 
 
 def _outcomes(v: Views) -> DataFrame:
-    return outcome.outcome_table(
-        v.applied, v.link, v.risk_source, v.calls, v.online, v.start_stop, v.features, OVERRIDES
-    )
+    return v.outcomes
 
 
 @query
@@ -427,7 +425,7 @@ def e3_email_date(v: Views) -> DataFrame:
 
 @query
 def e4_link_subscriptions(v: Views) -> DataFrame:
-    return tidy(_linked(v))
+    return tidy(outcome.link_subscriptions(_assigned(v), v.link, v.risk_source))
 
 
 @query
@@ -496,7 +494,8 @@ def e14_tier_and_metrics(v: Views) -> DataFrame:
 
 @query
 def e15_outcome_table(v: Views) -> DataFrame:
-    return printable_ints(tidy(_outcomes(v)), "churned")
+    table = outcome.attach_behaviour(_classified(v), v.risk_source, v.features)
+    return printable_ints(tidy(table), "churned")
 
 
 # --- revenue --------------------------------------------------------------------
@@ -575,7 +574,7 @@ def m8_exclude_rate_gap(v: Views) -> DataFrame:
 
 @query
 def m9_revenue_table(v: Views) -> DataFrame:
-    return tidy(revenue.revenue_table(_outcomes(v), v.payments, START))
+    return tidy(experiment.revenue_outcomes(v.tables, _outcomes(v), START))
 
 
 @query
@@ -644,7 +643,7 @@ def c6_contact_steps(v: Views) -> DataFrame:
 
 @query
 def c7_contact_history(v: Views) -> DataFrame:
-    history = contacts.contact_history(_outcomes(v), _steps(v))
+    history = experiment.contact_history(v.tables, _linked(v), _outcomes(v))
     return printable_ints(tidy(_printable(history)), "churned")
 
 
@@ -753,20 +752,21 @@ def q7_metric_coverage(v: Views) -> DataFrame:
 
 
 def _reference(v: Views) -> DataFrame:
-    return materialize(profile.fit_reference(v.analysis, METRICS))
+    return stage(profile.fit_reference(v.staged_analysis, METRICS), "reference")
 
 
 def _profiles(v: Views, reference: DataFrame) -> DataFrame:
-    return profile.behavior_profiles(v.analysis, reference, METRICS)
+    return profile.behavior_profiles(v.staged_analysis, reference, METRICS)
 
 
 def _contrasts(v: Views, reference: DataFrame) -> DataFrame:
-    return materialize(profile.outcome_contrasts(_profiles(v, reference), METRICS))
+    return stage(profile.outcome_contrasts(_profiles(v, reference), METRICS), "contrasts")
 
 
 def _treatments(v: Views, reference: DataFrame) -> DataFrame:
-    return materialize(
-        profile.treatment_contrasts(v.analysis, _contrasts(v, reference), reference, METRICS)
+    contrasts = _contrasts(v, reference)
+    return stage(
+        profile.treatment_contrasts(v.staged_analysis, contrasts, reference, METRICS), "treatments"
     )
 
 
@@ -829,13 +829,13 @@ def d8_behavior_reference(v: Views) -> DataFrame:
 
 @query
 def d9_clipped_metrics(v: Views) -> DataFrame:
-    clipped = profile.clip_metrics(v.analysis, METRICS, _reference(v))
+    clipped = profile.clip_metrics(v.staged_analysis, METRICS, _reference(v))
     return tidy(clipped.select("billing_account", *METRICS))
 
 
 @query
 def d10_robust_scores(v: Views) -> DataFrame:
-    scored = profile.score_metrics(v.analysis, METRICS, _reference(v))
+    scored = profile.score_metrics(v.staged_analysis, METRICS, _reference(v))
     return tidy(scored.select("billing_account", *METRICS), 6)
 
 
@@ -891,7 +891,7 @@ def d16_outcome_contrasts(v: Views) -> DataFrame:
 def d17_treatment_contrasts(v: Views) -> DataFrame:
     reference = _reference(v)
     return tidy(
-        profile.treatment_contrasts(v.analysis, _contrasts(v, reference), reference, METRICS), 6
+        profile.treatment_contrasts(v.staged_analysis, _contrasts(v, reference), reference, METRICS), 6
     )
 
 
@@ -899,7 +899,7 @@ def d17_treatment_contrasts(v: Views) -> DataFrame:
 def d18_segment_details(v: Views) -> DataFrame:
     reference = _reference(v)
     details = profile.segment_details(
-        v.analysis, _treatments(v, reference), reference, METRICS, [*SEGMENTS, "Treatment"], 30
+        v.staged_analysis, _treatments(v, reference), reference, METRICS, [*SEGMENTS, "Treatment"], 30
     )
     return tidy(
         details.drop(
@@ -913,7 +913,7 @@ def d18_segment_details(v: Views) -> DataFrame:
 def d19_bootstrap_intervals(v: Views) -> DataFrame:
     reference = _reference(v)
     selected = profile.top_segments(_contrasts(v, reference), TOP).select("segment_rank", *SEGMENTS)
-    rows = profile.match_segments(v.analysis, selected, SEGMENTS)
+    rows = profile.match_segments(v.staged_analysis, selected, SEGMENTS)
     counts = quantiles.value_counts(rows, ["segment_rank", "outcome"], METRICS)
     return tidy(
         bootstrap.median_difference_intervals(
@@ -958,21 +958,21 @@ def v3_contrast_heatmap(v: Views) -> DataFrame:
 def v4_contrast_panels(v: Views) -> DataFrame:
     reference = _reference(v)
     return tidy(
-        charts.contrast_panels(v.analysis, _contrasts(v, reference), reference, METRICS, SEGMENTS, TOP)
+        charts.contrast_panels(v.staged_analysis, _contrasts(v, reference), reference, METRICS, SEGMENTS, TOP)
     )
 
 
 @query
 def v4_treatment_panel_accounts(v: Views) -> DataFrame:
     treatments = _treatments(v, _reference(v)).where("supported")
-    return charts.panel_accounts(v.analysis, treatments, [*SEGMENTS, "Treatment"], TOP)
+    return charts.panel_accounts(v.staged_analysis, treatments, [*SEGMENTS, "Treatment"], TOP)
 
 
 @query
 def v5_clipped_panels(v: Views) -> DataFrame:
     reference = _reference(v)
     return tidy(
-        charts.clipped_panels(v.analysis, _contrasts(v, reference), reference, METRICS, SEGMENTS, TOP)
+        charts.clipped_panels(v.staged_analysis, _contrasts(v, reference), reference, METRICS, SEGMENTS, TOP)
     )
 
 
@@ -988,5 +988,5 @@ def v7_journey_links(v: Views) -> DataFrame:
 
 @query
 def v8_journey_index(v: Views) -> DataFrame:
-    links = materialize(charts.journey_links(charts.journey_stages(_outcomes(v))))
+    links = stage(charts.journey_links(charts.journey_stages(_outcomes(v))))
     return charts.index_links(links, charts.journey_nodes(links))

@@ -1024,7 +1024,7 @@ ORACLE["v3_profile_heatmap"] = f"""
 ORACLE["v3_contrast_heatmap"] = f"""
     select segment_rank || '. ' || segment_label || ' (n=' || n__saved || '/' || n__stopped || ')' as row_label,
       {', '.join(r(f'delta__{m}', m, 6) for m in METRICS)}
-    from (select * from v_contrasts order by segment_rank limit 20)"""
+    from v_contrasts where segment_rank < 20"""
 ORACLE["v4_contrast_panels"] = " union all ".join(
     f"""select s.segment_rank, a.outcome, '{m}' as metric, round(a.score__{m}, 4) as score
       from v_selected s join v_scored a on {_SAME}"""
