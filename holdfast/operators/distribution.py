@@ -13,6 +13,7 @@ from holdfast.operators.quantiles import (
     SUMMARY_PERCENTILES,
     interpolate,
     order_statistics,
+    regroup_counts,
     value_counts,
 )
 
@@ -40,13 +41,10 @@ def population_summaries(
     tagged = labelled.withColumn("memberships", F.array_compact(names)).where(
         F.size("memberships") > 0
     )
-    counts = (
-        value_counts(tagged, ["memberships"], fields, keep_missing=True)
-        .select(F.explode("memberships").alias("population"), "metric", "value", "n")
-        .groupBy("population", "metric", "value")
-        .agg(F.sum("n").alias("n"))
+    spread = value_counts(tagged, ["memberships"], fields, keep_missing=True).select(
+        F.explode("memberships").alias("population"), "metric", "value", "n"
     )
-    return _summarize(counts, fields, ["population"])
+    return _summarize(regroup_counts(spread, ["population"]), fields, ["population"])
 
 
 def _summarize(all_counts: DataFrame, fields: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -152,11 +150,8 @@ def segment_summaries(
         .groupBy(*keys)
         .agg(F.count_distinct("__id").alias("users"))
     )
-    counts = (
-        value_counts(df, segments, metrics)
-        .select(spread, "metric", "value", "n")
-        .groupBy(*keys, "metric", "value")
-        .agg(F.sum("n").alias("n"))
+    counts = regroup_counts(
+        value_counts(df, segments, metrics).select(spread, "metric", "value", "n"), keys
     )
     means = counts.groupBy(*keys, "metric").agg(F.expr("sum(value * n) / sum(n)").alias("avg"))
     quantiles = order_statistics(counts, [*keys, "metric"], {"median": 0.5, "p90": 0.9}).select(
