@@ -108,21 +108,16 @@ def first_calls(
     result = [*PAIR, F.lit(1).alias("called_in"), "__called_in_date"]
     if strict_subscription:
         return called.select(*result, F.col("own_cancel").alias("__call_cancel_date"))
+    # One row per account, holding at most one entry per calendar day: the join
+    # stays one to one however many calls or subscriptions the account has.
     unsaved = (
         days.where(F.col("unsaved") == 1)
-        .select("billing_account", F.col("event_date").alias("cancel_date"))
-        .distinct()
-    )
-    cancels = (
-        called.select("billing_account", "first_email")
-        .distinct()
-        .join(unsaved, "billing_account")
-        .where(F.col("cancel_date") >= F.col("first_email"))
-        .groupBy("billing_account", "first_email")
-        .agg(F.min("cancel_date").alias("__call_cancel_date"))
+        .groupBy("billing_account")
+        .agg(F.collect_set("event_date").alias("cancel_days"))
     )
-    return called.join(cancels, ["billing_account", "first_email"], "left").select(
-        *result, "__call_cancel_date"
+    later = F.filter("cancel_days", lambda d: d >= F.col("first_email"))
+    return called.join(unsaved, "billing_account", "left").select(
+        *result, F.array_min(later).alias("__call_cancel_date")
     )
 
 

@@ -49,6 +49,12 @@ def subscription_publications(
     rules: Sequence[str] = MARKET_RULES,
 ) -> DataFrame:
     """Which publication and market a subscription belonged to, and when."""
+    return _placed_versions(subscriptions, product, publication, rules).distinct()
+
+
+def _placed_versions(
+    subscriptions: DataFrame, product: DataFrame, publication: DataFrame, rules: Sequence[str]
+) -> DataFrame:
     catalogue = product.select("product_id", "publication_id").join(
         publication.select("publication_id", "publication_name"), "publication_id"
     )
@@ -61,7 +67,7 @@ def subscription_publications(
     return normalize_market(named, rules=rules).select(
         "id_subscrip", "effective_date", "end_date", "market", "publication_id",
         "publication_name",
-    ).distinct()
+    )
 
 
 def billing_links(link: DataFrame, billing_system: str = BILLING_SYSTEM) -> DataFrame:
@@ -102,9 +108,8 @@ def weekly_risk_source(
     day = F.lit(target_date(run_date, "sunday"))
     # The week is known, so superseded and future versions never reach the join.
     current = subscriptions.where(day.between(F.col("effective_date"), F.col("end_date")))
-    places = in_markets(
-        subscription_publications(current, product, publication, rules), markets
-    )
+    # The final DISTINCT covers repeated versions; one more here would only shuffle.
+    places = in_markets(_placed_versions(current, product, publication, rules), markets)
     placed = effective_join(
         week_of(tiers, run_date), places, on=["id_subscrip"], date="inference_date"
     )

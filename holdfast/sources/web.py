@@ -57,13 +57,23 @@ def consumer_visitors(known: DataFrame) -> DataFrame:
 
 
 def identity_map(
-    subscriptions: DataFrame, known: DataFrame, product: DataFrame
+    subscriptions: DataFrame,
+    known: DataFrame,
+    product: DataFrame,
+    visits: DataFrame | None = None,
 ) -> DataFrame:
-    """Which visitor on which site stands for which subscription, and when."""
+    """Which visitor on which site stands for which subscription, and when.
+
+    With `visits` only visitors seen there are mapped, so a consumer with many
+    ids and many subscriptions is expanded for the ids that matter.
+    """
+    visitors = consumer_visitors(known)
+    if visits is not None:
+        visitors = visitors.join(visits.select("anonymous_id"), "anonymous_id", "left_semi")
     sites = product.select(F.col("product_id").alias("mdm_product_id"), "website_id")
     return (
         subscription_consumers(subscriptions)
-        .join(consumer_visitors(known), "consumer_id")
+        .join(visitors, "consumer_id")
         .join(sites, "mdm_product_id")
         .select("id_subscrip", "effective_date", "end_date", "anonymous_id", "website_id")
         .distinct()
@@ -90,4 +100,4 @@ def online_cancel_events(
     visits = roll_up_flags(flag_events(events.where(F.col("event_date") == day)))
     # Versions not valid that day cannot match; drop them before they fan out.
     current = subscriptions.where(day.between(F.col("effective_date"), F.col("end_date")))
-    return attribute_events(visits, identity_map(current, known, product))
+    return attribute_events(visits, identity_map(current, known, product, visits))

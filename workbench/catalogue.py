@@ -354,10 +354,9 @@ def r12_identity_map(v: Views) -> DataFrame:
 
 @query
 def r13_event_attribution(v: Views) -> DataFrame:
-    return web.attribute_events(
-        web.roll_up_flags(web.flag_events(v.web_events)),
-        web.identity_map(v.subscriptions, v.known_consumers, v.product),
-    )
+    visits = web.roll_up_flags(web.flag_events(v.web_events))
+    identities = web.identity_map(v.subscriptions, v.known_consumers, v.product, visits)
+    return web.attribute_events(visits, identities)
 
 
 # --- cardinality guardrail ------------------------------------------------------
