@@ -18,12 +18,7 @@ from holdfast.operators.profile import (
     score_metrics,
     top_segments,
 )
-from holdfast.operators.quantiles import (
-    interpolate,
-    order_statistics,
-    regroup_counts,
-    value_counts,
-)
+from holdfast.operators.quantiles import interpolate, order_statistics, value_counts
 
 SCALES = ("original", "clipped", "standardized")
 WHISKER_REACH = 1.5
@@ -86,7 +81,7 @@ def box_statistics(
     a monotone one, so its quartiles follow from the original order statistics.
     """
     counts = value_counts(df.where(F.col(group).isin(*groups)), [group], metrics)
-    reference = reference_from_counts(regroup_counts(counts, []), metrics)
+    reference = reference_from_counts(counts, metrics)
     keys = [group, "metric", "scale"]
 
     by_scale = F.inline(

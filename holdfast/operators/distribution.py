@@ -16,6 +16,7 @@ from holdfast.operators.quantiles import (
     regroup_counts,
     value_counts,
 )
+from holdfast.sources.tables import stage
 
 OUTLIER_REACH = 1.5
 
@@ -44,7 +45,9 @@ def population_summaries(
     spread = value_counts(tagged, ["memberships"], fields, keep_missing=True).select(
         F.explode("memberships").alias("population"), "metric", "value", "n"
     )
-    return _summarize(regroup_counts(spread, ["population"]), fields, ["population"])
+    # Staged: the explode above would otherwise run once per use.
+    counts = stage(regroup_counts(spread, ["population"]), "value_counts")
+    return _summarize(counts, fields, ["population"])
 
 
 def _summarize(all_counts: DataFrame, fields: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -150,9 +153,8 @@ def segment_summaries(
         .groupBy(*keys)
         .agg(F.count_distinct("__id").alias("users"))
     )
-    counts = regroup_counts(
-        value_counts(df, segments, metrics).select(spread, "metric", "value", "n"), keys
-    )
+    repeated = value_counts(df, segments, metrics).select(spread, "metric", "value", "n")
+    counts = stage(regroup_counts(repeated, keys), "value_counts")
     means = counts.groupBy(*keys, "metric").agg(F.expr("sum(value * n) / sum(n)").alias("avg"))
     quantiles = order_statistics(counts, [*keys, "metric"], {"median": 0.5, "p90": 0.9}).select(
         *keys, "metric", *[interpolate(q).alias(q) for q in ("median", "p90")]

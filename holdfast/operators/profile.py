@@ -19,7 +19,12 @@ from holdfast.functions.labels import (
 )
 from holdfast.operators.bootstrap import median_difference_intervals
 from holdfast.operators.population import ACCOUNT, METRICS, SEGMENT_FIELDS
-from holdfast.operators.quantiles import interpolate, order_statistics, value_counts
+from holdfast.operators.quantiles import (
+    interpolate,
+    order_statistics,
+    regroup_counts,
+    value_counts,
+)
 
 MIN_PROFILE_USERS = 20
 MIN_TREATMENT_USERS = 5
@@ -38,7 +43,23 @@ def fit_reference(df: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
     return reference_from_counts(value_counts(df, [], metrics), metrics)
 
 
+def population_counts(
+    df: DataFrame,
+    metrics: Sequence[str] = METRICS,
+    segment_fields: Sequence[str] = SEGMENT_FIELDS,
+) -> DataFrame:
+    """Value counts at the finest grouping the steps below use.
+
+    Passed as `counts`, it serves the reference, the profiles, the treatment
+    drill-down and the details from one scan of the account rows.
+    """
+    return value_counts(df, ["outcome", *segment_fields, "Treatment"], metrics)
+
+
 def reference_from_counts(counts: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Reference from counts of any grouping that has a row per metric and value."""
+    if set(counts.columns) != {"metric", "value", "n"}:
+        counts = regroup_counts(counts, [])
     wanted = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
     fitted = order_statistics(counts, ["metric"], wanted).select(
         "metric", *[interpolate(p).alias(p) for p in wanted]
@@ -111,13 +132,13 @@ def _scored(value: Column) -> Column:
 
 
 def _medians(
-    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], reference: DataFrame
+    counts: DataFrame, keys: Sequence[str], metrics: Sequence[str], reference: DataFrame
 ) -> DataFrame:
     """Raw and score medians in wide form: `raw__m`, `score__m` per group.
 
     Scaling is monotone, so one set of order statistics serves both.
     """
-    stats = order_statistics(value_counts(df, keys, metrics), [*keys, "metric"], {"p50": 0.5})
+    stats = order_statistics(counts, [*keys, "metric"], {"p50": 0.5})
     long = _with_reference(stats, reference).select(
         *keys,
         "metric",
@@ -139,14 +160,19 @@ def behavior_profiles(
     metrics: Sequence[str] = METRICS,
     segment_fields: Sequence[str] = ("outcome", *SEGMENT_FIELDS),
     min_n: int = MIN_PROFILE_USERS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Profile of every segment with enough accounts, strongest first."""
+    if counts is None:
+        counts = value_counts(df, segment_fields, metrics)
+    else:
+        counts = regroup_counts(counts, segment_fields)
     users = (
         df.groupBy(*segment_fields)
         .agg(F.count_distinct(ACCOUNT).alias("users"))
         .where(F.col("users") >= min_n)
     )
-    medians = _medians(df, segment_fields, metrics, reference)
+    medians = _medians(counts, segment_fields, metrics, reference)
     named = {m: F.col(f"score__{m}") for m in metrics}
     return (
         null_safe_join(users, medians, segment_fields, "left")
@@ -255,18 +281,28 @@ def treatment_contrasts(
     segment_fields: Sequence[str] = SEGMENT_FIELDS,
     top_n: int = TOP_CONTRASTS,
     min_n: int = MIN_TREATMENT_USERS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The strongest segments split by treatment, empty cells included."""
     selected = top_segments(contrasts, top_n).select(
         "segment_rank", "segment_label", *segment_fields
     )
     cell = ["segment_rank", "Treatment"]
-    rows = match_segments(df, selected.drop("segment_label"), segment_fields).where(
-        F.col("Treatment").isin(*TREATMENTS) & F.col("outcome").isin(*OUTCOMES)
-    )
     by_outcome = [*cell, "outcome"]
+
+    def in_cells(rows: DataFrame) -> DataFrame:
+        return match_segments(rows, selected.drop("segment_label"), segment_fields).where(
+            F.col("Treatment").isin(*TREATMENTS) & F.col("outcome").isin(*OUTCOMES)
+        )
+
+    rows = in_cells(df)
+    if counts is None:
+        counts = value_counts(rows, by_outcome, metrics)
+    else:
+        counts = regroup_counts(in_cells(counts), by_outcome)
     users = rows.groupBy(*by_outcome).agg(F.count_distinct(ACCOUNT).alias("users"))
-    stats = null_safe_join(users, _medians(rows, by_outcome, metrics, reference), by_outcome, "left")
+    medians = _medians(counts, by_outcome, metrics, reference)
+    stats = null_safe_join(users, medians, by_outcome, "left")
 
     sides = ((SAVED, "saved"), (STOPPED, "stopped"))
     wide = stats.groupBy(*cell).agg(
@@ -328,6 +364,7 @@ def segment_details(
     bootstrap_iterations: int = 0,
     confidence_level: float = 0.95,
     seed: int = 42,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Business-unit spread of the selected segments, one row per metric.
 
@@ -337,10 +374,17 @@ def segment_details(
     tie_break = [f for f in segment_fields if f == "Treatment"]
     selected = top_segments(contrasts, top_n, *tie_break)
     cell = ["segment_rank", *tie_break]
-    rows = match_segments(
-        df.drop("segment_rank"), selected.select("segment_rank", *segment_fields), segment_fields
-    ).where(F.col("outcome").isin(*OUTCOMES))
-    counts = value_counts(rows, [*cell, "outcome"], metrics)
+    wanted = selected.select("segment_rank", *segment_fields)
+
+    def in_segments(rows: DataFrame) -> DataFrame:
+        return match_segments(rows.drop("segment_rank"), wanted, segment_fields).where(
+            F.col("outcome").isin(*OUTCOMES)
+        )
+
+    if counts is None:
+        counts = value_counts(in_segments(df), [*cell, "outcome"], metrics)
+    else:
+        counts = regroup_counts(in_segments(counts), [*cell, "outcome"])
     stats = _with_reference(
         order_statistics(counts, [*cell, "outcome", "metric"], {"p25": 0.25, "p75": 0.75}),
         reference,

@@ -60,9 +60,8 @@ def value_counts(
 
 
 def regroup_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Counts of a coarser or spread-out grouping, from counts of a finer one."""
-    regrouped = counts.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
-    return stage(regrouped, "value_counts")
+    """Counts of a coarser grouping, from counts of a finer one."""
+    return counts.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
 
 
 def value_bin(value: Column) -> Column:

@@ -38,10 +38,12 @@ def analyze(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, D
     quality.require_valid_population(analysis, population.ACCOUNT, s.metrics)
     contexts = {title: population.members(n) for title, n in population.CONTEXT_POPULATIONS}
 
-    reference = stage(profile.fit_reference(analysis, s.metrics), "reference")
+    counts = profile.population_counts(analysis, s.metrics, s.segment_fields)
+    reference = stage(profile.reference_from_counts(counts, s.metrics), "reference")
     profiles = stage(
         profile.behavior_profiles(
-            analysis, reference, s.metrics, ["outcome", *s.segment_fields], s.min_profile_users
+            analysis, reference, s.metrics, ["outcome", *s.segment_fields], s.min_profile_users,
+            counts,
         ),
         "profiles",
     )
@@ -53,14 +55,14 @@ def analyze(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, D
     treatments = stage(
         profile.treatment_contrasts(
             analysis, contrasts, reference, s.metrics, s.segment_fields, s.top_contrasts,
-            s.min_treatment_users,
+            s.min_treatment_users, counts,
         ),
         "treatments",
     )
     details = profile.segment_details(
         analysis, treatments, reference, s.metrics, [*s.segment_fields, "Treatment"],
         top_n=s.top_contrasts * 3, bootstrap_iterations=s.bootstrap_iterations,
-        confidence_level=s.confidence_level, seed=s.seed,
+        confidence_level=s.confidence_level, seed=s.seed, counts=counts,
     )
     return {
         "population_counts": population.funnel(labelled),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.dates import inference_date
 from holdfast.operators.population import label_population, subset
+from holdfast.operators.profile import population_counts
 from holdfast.plans.experiment import ExperimentTables, linked_assignments, outcomes
 from holdfast.sources.tables import stage
 
@@ -298,6 +299,10 @@ class Views:
         """For analyses that read the population several times."""
         return stage(self.analysis, "analysis")
 
+    @cached_property
+    def analysis_counts(self) -> DataFrame:
+        return population_counts(self.staged_analysis)
+
     @cached_property
     def tables(self) -> ExperimentTables:
         return ExperimentTables(

@@ -751,11 +751,13 @@ def q7_metric_coverage(v: Views) -> DataFrame:
 
 
 def _reference(v: Views) -> DataFrame:
-    return stage(profile.fit_reference(v.staged_analysis, METRICS), "reference")
+    return stage(profile.reference_from_counts(v.analysis_counts, METRICS), "reference")
 
 
 def _profiles(v: Views, reference: DataFrame) -> DataFrame:
-    return profile.behavior_profiles(v.staged_analysis, reference, METRICS)
+    return profile.behavior_profiles(
+        v.staged_analysis, reference, METRICS, counts=v.analysis_counts
+    )
 
 
 def _contrasts(v: Views, reference: DataFrame) -> DataFrame:
@@ -763,9 +765,12 @@ def _contrasts(v: Views, reference: DataFrame) -> DataFrame:
 
 
 def _treatments(v: Views, reference: DataFrame) -> DataFrame:
-    contrasts = _contrasts(v, reference)
     return stage(
-        profile.treatment_contrasts(v.staged_analysis, contrasts, reference, METRICS), "treatments"
+        profile.treatment_contrasts(
+            v.staged_analysis, _contrasts(v, reference), reference, METRICS,
+            counts=v.analysis_counts,
+        ),
+        "treatments",
     )
 
 
@@ -889,16 +894,18 @@ def d16_outcome_contrasts(v: Views) -> DataFrame:
 @query
 def d17_treatment_contrasts(v: Views) -> DataFrame:
     reference = _reference(v)
-    return tidy(
-        profile.treatment_contrasts(v.staged_analysis, _contrasts(v, reference), reference, METRICS), 6
+    treatments = profile.treatment_contrasts(
+        v.staged_analysis, _contrasts(v, reference), reference, METRICS, counts=v.analysis_counts
     )
+    return tidy(treatments, 6)
 
 
 @query
 def d18_segment_details(v: Views) -> DataFrame:
     reference = _reference(v)
     details = profile.segment_details(
-        v.staged_analysis, _treatments(v, reference), reference, METRICS, [*SEGMENTS, "Treatment"], 30
+        v.staged_analysis, _treatments(v, reference), reference, METRICS, [*SEGMENTS, "Treatment"],
+        30, counts=v.analysis_counts,
     )
     return tidy(
         details.drop(
@@ -912,8 +919,8 @@ def d18_segment_details(v: Views) -> DataFrame:
 def d19_bootstrap_intervals(v: Views) -> DataFrame:
     reference = _reference(v)
     selected = profile.top_segments(_contrasts(v, reference), TOP).select("segment_rank", *SEGMENTS)
-    rows = profile.match_segments(v.staged_analysis, selected, SEGMENTS)
-    counts = quantiles.value_counts(rows, ["segment_rank", "outcome"], METRICS)
+    matched = profile.match_segments(v.analysis_counts, selected, SEGMENTS)
+    counts = quantiles.regroup_counts(matched, ["segment_rank", "outcome"])
     return tidy(
         bootstrap.median_difference_intervals(
             counts, ["segment_rank"], reference, BOOTSTRAP, 0.95, seed=42
