@@ -499,12 +499,6 @@ VIEWS["v_qualifying"] = """
     from v_evaluable e join v_facts p on e.billing_account = p.billing_account
       and e.id_subscrip = p.id_subscrip and p.id_payment_date > e."__earlist_contact_date"
       and p.id_payment_date >= e.pricing_effective_date"""
-ORACLE["m4_qualifying_payments"] = """
-    select billing_account, id_subscrip, id_payment_date, round(billing_amount, 4) as billing_amount,
-      count(*) // (select count(*) from v_evaluable e where e.billing_account = q.billing_account
-        and e.id_subscrip = q.id_subscrip and q.id_payment_date > e."__earlist_contact_date"
-        and q.id_payment_date >= e.pricing_effective_date) as payments
-    from v_qualifying q group by 1, 2, 3, 4"""
 ORACLE["m6_account_revenue"] = """
     select billing_account, id_subscrip, round(sum(billing_amount), 4) as tt_paid_raw,
       round(sum(bill_amount_save_once), 4) as tt_paid_save_once,
@@ -532,8 +526,7 @@ ORACLE["m9_revenue_table"] = """
 ORACLE["m5_payment_flags"] = """
     select billing_account, id_subscrip, id_payment_date, round(billing_amount, 4) as billing_amount,
       round(bill_amount_save_once, 4) as bill_amount_save_once, repeatedly_called, skpi_gap_wip
-    from (select distinct e.billing_account, e.id_subscrip, row_number() over () as row_id,
-            e.offered_rate, e.new_rate, e."__earlist_contact_date" as contact, e.pricing_effective_date
+    from (select e.billing_account, e.id_subscrip, e.offered_rate, e.new_rate, e."__earlist_contact_date" as contact, e.pricing_effective_date
           from v_evaluable e) e
     join (select distinct billing_account as acct, id_subscrip as sub, id_payment_date, billing_amount
           from v_facts) p on acct = billing_account and sub = id_subscrip
