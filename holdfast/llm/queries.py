@@ -20,9 +20,17 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(_documents(spark, sf_dir), path("byte_bpe_50k.json"), end_id=2)
 
 
+def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.warc import archive_pages
+
+    return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_token_records,)}
+    return {f.__name__: f for f in (op7_token_records, op9_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from holdfast.llm import oracle
+
+    return {"op9_warc_archives": oracle.OP9}
