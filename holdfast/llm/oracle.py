@@ -21,3 +21,35 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM g
 """
+
+OP4 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), bw AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i
+          FROM (SELECT *, least(10, len(w)) AS k FROM b WHERE len(w) > 0))
+), dw AS (
+    SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT d.*, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)
+), m AS (
+    SELECT doc_id, item_id, i, k FROM dw JOIN bw USING (k, g)
+), h AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY ALL
+), n AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY ALL
+)
+SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -12,6 +12,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.decontaminate import RESULTS, find_leaks
+
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(_documents(spark, sf_dir).select("doc_id", "text"), benchmark).select("doc_id", *RESULTS)
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -27,10 +34,10 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_token_records, op9_warc_archives)}
+    return {f.__name__: f for f in (op4_benchmark_decontamination, op7_token_records, op9_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
     from holdfast.llm import oracle
 
-    return {"op9_warc_archives": oracle.OP9}
+    return {"op4_benchmark_decontamination": oracle.OP4, "op9_warc_archives": oracle.OP9}
