@@ -53,3 +53,28 @@ SELECT doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coal
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+OP1 = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY ALL
+), l AS (
+    SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                      FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
+    JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)
+), e AS (
+    SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+    SELECT doc_id AS a, doc_id AS b FROM d
+    UNION
+    SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY ALL
+"""

@@ -12,6 +12,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.jaccard_join import link_documents
+
+    found = link_documents(_documents(spark, sf_dir), width=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from holdfast.llm.decontaminate import RESULTS, find_leaks
 
@@ -34,10 +41,10 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_benchmark_decontamination, op7_token_records, op9_warc_archives)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op7_token_records, op9_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
     from holdfast.llm import oracle
 
-    return {"op4_benchmark_decontamination": oracle.OP4, "op9_warc_archives": oracle.OP9}
+    return {"op1_ngram_jaccard_join": oracle.OP1, "op4_benchmark_decontamination": oracle.OP4, "op9_warc_archives": oracle.OP9}
