@@ -26,6 +26,13 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(_documents(spark, sf_dir).select("doc_id", "text"), benchmark).select("doc_id", *RESULTS)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.quality import RESULTS, score_quality
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_quality(_documents(spark, sf_dir).select("doc_id", "text"), labels).select("doc_id", *RESULTS)
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -41,7 +48,7 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op7_token_records, op9_warc_archives)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op6_quality_classifier, op7_token_records, op9_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
