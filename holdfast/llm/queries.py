@@ -19,6 +19,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.mixing import Target, mix_sources
+
+    return mix_sources(_documents(spark, sf_dir), Target())
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from holdfast.llm.decontaminate import RESULTS, find_leaks
 
@@ -48,7 +54,7 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_benchmark_decontamination, op6_quality_classifier, op7_token_records, op9_warc_archives)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_source_mixing, op4_benchmark_decontamination, op6_quality_classifier, op7_token_records, op9_warc_archives)}
 
 
 def oracle_sql() -> dict[str, str]:
