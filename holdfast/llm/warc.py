@@ -6,12 +6,14 @@ followed by `continuation` records (WARC 1.1, section 7). Nothing from there on
 many chunks whole: the writer and the reader carry a SHA-1 state from chunk to chunk.
 
 Spark's text writer puts the bytes down, one chunk a row, with the two line ends that close a WARC
-record as its line end, so archives are committed with the job and may lie in any store.
+record as its line end, so archives are committed with the job and may lie in any store. Each archive
+is one gzip stream.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -24,7 +26,7 @@ from holdfast.sources.tables import scratch_path, stage
 
 END = "\r\n\r\n"
 #: Bytes of a chunk, and chunks of an archive file.
-CHUNK, CHUNKS_PER_FILE = 1 << 18, 1024
+CHUNK, CHUNKS_PER_FILE = 1 << 18, 512
 
 _DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 _CHUNK_ROWS = (
@@ -124,6 +126,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         records.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", END)
         .option("maxRecordsPerFile", CHUNKS_PER_FILE)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -159,7 +162,7 @@ def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
     for batch in batches:
         for content in batch.column("content"):
-            view, at, rows, held = memoryview(content.as_buffer()), 0, [], 0
+            view, at, rows, held = memoryview(gzip.decompress(content.as_buffer())), 0, [], 0
             while at < len(view):
                 fields, block, at = _record(view, at)
                 origin = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"])
