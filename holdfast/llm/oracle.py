@@ -78,3 +78,18 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY ALL
 """
+
+OP8 = r"""
+WITH copies AS (
+    SELECT text, min(doc_id) AS first_id FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) GROUP BY ALL
+), kept AS (
+    SELECT source, lang, regexp_replace(coalesce(d.text, ''), '(?m)^Licensed under .*$', '', 'g') AS text
+    FROM documents d JOIN copies c ON coalesce(d.text, '') = c.text AND d.doc_id = c.first_id
+), counted AS (
+    SELECT source, lang, 'words@1' AS tokenizer, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM kept
+    UNION ALL
+    SELECT source, lang, 'words@2',
+        len(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS docs, sum(n)::BIGINT AS tokens FROM counted GROUP BY ALL
+"""

@@ -53,11 +53,45 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op3_rp_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.rp_forest import nearest_neighbours
+
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.line_dedup import line_decisions
+
+    found = line_decisions(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_lines", "n_dropped", F.array_join(F.col("dropped"), ",").alias("dropped"))
+
+
+def op8_token_count_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.token_counts import corpus_totals
+    from holdfast.sources.tables import scratch_path
+
+    return corpus_totals(_documents(spark, sf_dir), scratch_path(spark, "ledger"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.secrets import RESULTS, find_secrets
+
+    return find_secrets(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *RESULTS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_source_mixing, op4_benchmark_decontamination, op6_quality_classifier, op7_token_records, op9_warc_archives)}
+    """By operator number."""
+    own = [f for name, f in globals().items() if name.startswith("op")]
+    return {f.__name__: f for f in sorted(own, key=lambda f: int(f.__name__[2:].split("_")[0]))}
 
 
 def oracle_sql() -> dict[str, str]:
+    """SQL where it can express the operator; the others are tested against brute force."""
     from holdfast.llm import oracle
 
-    return {"op1_ngram_jaccard_join": oracle.OP1, "op4_benchmark_decontamination": oracle.OP4, "op9_warc_archives": oracle.OP9}
+    return {
+        "op1_ngram_jaccard_join": oracle.OP1,
+        "op4_benchmark_decontamination": oracle.OP4,
+        "op8_token_count_ledger": oracle.OP8,
+        "op9_warc_archives": oracle.OP9,
+    }
