@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -43,6 +44,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         # Building plans in Python costs more than running them at this size.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -21,9 +21,9 @@ from holdfast.functions.labels import SAVED, STOPPED
 from holdfast.functions.scores import clip
 from holdfast.operators.quantiles import values_at_ranks
 
-# A gamma proposal is rejected in under 5 % of cases; after eight the chance that
-# none was accepted is below 1e-10 and the mean is used.
-PROPOSALS = 8
+# A gamma proposal is rejected in under 5 % of cases, so the chance that none of
+# these is accepted is below 1e-40; the query fails then rather than bend a draw.
+PROPOSALS = 32
 
 
 def uniform(digest: str, start: int) -> str:
@@ -54,7 +54,8 @@ def gamma(shape: str, key: str) -> str:
     proposal = f"transform({cubed}, p -> if({accept}, {d} * p.v, cast(null as double)))[0]"
     return (
         f"coalesce(aggregate(sequence(0, {PROPOSALS - 1}), cast(null as double),"
-        f" (found, a) -> if(found is null, {proposal}, found)), {d})"
+        f" (found, a) -> if(found is null, {proposal}, found)),"
+        " cast(raise_error('no gamma proposal was accepted') as double))"
     )
 
 

@@ -19,6 +19,7 @@ from holdfast.operators.profile import (
     top_segments,
 )
 from holdfast.operators.quantiles import interpolate, order_statistics, value_counts
+from holdfast.sources.tables import stage
 
 SCALES = ("original", "clipped", "standardized")
 WHISKER_REACH = 1.5
@@ -81,13 +82,10 @@ def box_statistics(
     a monotone one, so its quartiles follow from the original order statistics.
     """
     counts = value_counts(df.where(F.col(group).isin(*groups)), [group], metrics)
-    reference = reference_from_counts(counts, metrics)
-    keys = [group, "metric", "scale"]
-
-    by_scale = F.inline(
-        F.array(*[F.struct(F.lit(s).alias("scale"), F.col(s).alias("value")) for s in SCALES])
-    )
-    values = _scaled(counts, reference, "value").select(group, "metric", "n", by_scale)
+    # Staged: read for the scales of the values and of the quartiles.
+    reference = stage(reference_from_counts(counts, metrics), "reference")
+    keys = [group, "metric"]
+    values = _scaled(counts, reference, "value")
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     stats = order_statistics(counts, [group, "metric"], quartiles).join(
         F.broadcast(reference), "metric"
@@ -99,36 +97,43 @@ def box_statistics(
             v, F.col("p01"), F.col("p99"), F.col("center"), F.col("spread")
         ),
     }
+    # All scales in one pass over the values: a column each, spread out at the end.
     boxes = stats.select(
-        group,
-        "metric",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("scale"),
-                        *[interpolate(q, transforms[s]).alias(q) for q in quartiles],
-                    )
-                    for s in SCALES
-                ]
-            )
-        ),
-    ).withColumns(
+        *keys,
+        *[interpolate(q, transforms[s]).alias(f"{q}_{s}") for s in SCALES for q in quartiles],
+    )
+    fences = boxes.withColumns(
         {
-            "low": F.col("q1") - WHISKER_REACH * (F.col("q3") - F.col("q1")),
-            "high": F.col("q3") + WHISKER_REACH * (F.col("q3") - F.col("q1")),
+            f"{side}_{s}": F.col(f"{edge}_{s}")
+            + sign * WHISKER_REACH * (F.col(f"q3_{s}") - F.col(f"q1_{s}"))
+            for s in SCALES
+            for side, edge, sign in (("low", "q1", -1), ("high", "q3", 1))
         }
     )
-    return (
-        null_safe_join(values, boxes, keys)
-        .groupBy(*keys, "q1", "median", "q3")
+    shown = [f"{q}_{s}" for s in SCALES for q in quartiles]
+    wide = (
+        null_safe_join(values, fences, keys)
+        .groupBy(*keys, *shown)
         .agg(
             F.sum("n").alias("n"),
-            F.expr("least(min(if(value >= low, value, null)), q1)").alias("whisker_low"),
-            F.expr("greatest(max(if(value <= high, value, null)), q3)").alias("whisker_high"),
-            F.expr("sum(if(value < low or value > high, n, 0))").alias("fliers"),
+            *[
+                F.expr(rule.format(s=s)).alias(f"{name}_{s}")
+                for s in SCALES
+                for name, rule in {
+                    "whisker_low": "least(min(if({s} >= low_{s}, {s}, null)), q1_{s})",
+                    "whisker_high": "greatest(max(if({s} <= high_{s}, {s}, null)), q3_{s})",
+                    "fliers": "sum(if({s} < low_{s} or {s} > high_{s}, n, 0))",
+                }.items()
+            ],
         )
-        .select(*keys, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "fliers")
+    )
+    columns = [*quartiles, "whisker_low", "whisker_high", "fliers"]
+    by_scale = [
+        F.struct(F.lit(s).alias("scale"), *[F.col(f"{c}_{s}").alias(c) for c in columns])
+        for s in SCALES
+    ]
+    return wide.select(*keys, "n", F.inline(F.array(*by_scale))).select(
+        *keys, "scale", "n", *columns
     )
 
 
@@ -162,8 +167,6 @@ def _panel_rows(
     selected = contrasts.join(F.broadcast(ranks), "segment_rank", "left_semi").where(
         F.col("Treatment").isin(*TREATMENTS)
     ).select("segment_rank", *segment_fields)
-    # At most top_n ranks times the fixed treatments.
-    selected = selected.limit(top_n * len(TREATMENTS))
     return match_segments(df, selected, segment_fields), ["Treatment"]
 
 

@@ -6,17 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import labels
-from holdfast.functions.keys import account_key
-from holdfast.operators.outcome import PAIR, _anchors
+from holdfast.operators.outcome import PAIR, _anchors, days_of_calls
 
 
 def call_days(linked: DataFrame, calls: DataFrame) -> DataFrame:
     """Distinct call days on or after the email date."""
-    days = calls.select(
-        account_key("Account").alias("billing_account"),
-        F.col("idSubscrip").alias("id_subscrip"),
-        "event_date",
-    ).distinct()
+    days = days_of_calls(linked, calls)
     return (
         _anchors(linked)
         .join(days, PAIR)
@@ -28,7 +23,10 @@ def call_days(linked: DataFrame, calls: DataFrame) -> DataFrame:
 def page_days(linked: DataFrame, online: DataFrame) -> DataFrame:
     """Distinct cancel-page days on or after the email date."""
     days = (
-        online.where(F.col("entered_acc_mng") == 1).select("id_subscrip", "event_date").distinct()
+        online.where(F.col("entered_acc_mng") == 1)
+        .join(linked.select("id_subscrip").distinct(), "id_subscrip", "left_semi")
+        .select("id_subscrip", "event_date")
+        .distinct()
     )
     return (
         _anchors(linked)

@@ -73,7 +73,8 @@ def _summarize(all_counts: DataFrame, fields: Sequence[str], keys: Sequence[str]
         F.col("n").alias("non_null_count"),
         *[interpolate(p).alias(p) for p in SUMMARY_PERCENTILES],
     )
-    fenced = (
+    # Staged: read for the fences and for the result. One row per group and field.
+    fenced = stage(
         null_safe_join(basics, quantiles, group, "left")
         .fillna(0, ["non_null_count"])
         .withColumn("iqr", F.col("p75") - F.col("p25"))
@@ -82,10 +83,11 @@ def _summarize(all_counts: DataFrame, fields: Sequence[str], keys: Sequence[str]
                 "lower_bound": F.col("p25") - OUTLIER_REACH * F.col("iqr"),
                 "upper_bound": F.col("p75") + OUTLIER_REACH * F.col("iqr"),
             }
-        )
+        ),
+        "fenced",
     )
     # Second pass over the counted values: squared deviations about the known mean
-    # and values outside the fences. `fenced` has one row per group and field.
+    # and values outside the fences.
     spread = (
         null_safe_join(counts, fenced.select(*group, "mean", "lower_bound", "upper_bound"), group)
         .groupBy(*group)
@@ -146,12 +148,18 @@ def segment_summaries(
     keys = ["segment_field", "segment_value"]
     fields = ", ".join(f"struct('{s}' as segment_field, cast(`{s}` as string) as segment_value)" for s in segments)
     spread = F.inline(F.expr(f"array({fields})"))
+    # One row per account with the few values it has in each field; the count after
+    # that needs no second DISTINCT and combines map-side.
+    values = [F.collect_set(F.struct(F.col(s).cast("string").alias("v"))).alias(s) for s in segments]
+    spread_users = F.array(*[F.struct(F.lit(s).alias("segment_field"), F.col(s).alias("values")) for s in segments])
     users = (
-        df.select(*segments, F.col(id_col).alias("__id"))
-        .distinct()
-        .select(spread, "__id")
-        .groupBy(*keys)
-        .agg(F.count_distinct("__id").alias("users"))
+        df.where(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("__id"))
+        .agg(*values)
+        .select(F.inline(spread_users))
+        .select("segment_field", F.explode("values").alias("value"))
+        .groupBy("segment_field", F.col("value.v").alias("segment_value"))
+        .agg(F.count(F.lit(1)).alias("users"))
     )
     repeated = value_counts(df, segments, metrics).select(spread, "metric", "value", "n")
     counts = stage(regroup_counts(repeated, keys), "value_counts")

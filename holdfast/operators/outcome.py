@@ -12,9 +12,11 @@ from holdfast.functions import labels
 from holdfast.functions.dates import FILE_DATE_OVERRIDES, email_date, inference_date
 from holdfast.functions.keys import account_key
 from holdfast.sources.cohort import BILLING_SYSTEM
+from holdfast.sources.tables import stage
 
 PAIR = ["billing_account", "id_subscrip"]
 
+# The columns of the outcome table, in order.
 OUTCOME_COLUMNS = [
     "billing_account", "id_subscrip", "cohort", "Treatment", "email_date",
     "pricing_effective_date", "current_rate", "new_rate", "offered_rate", "called_in",
@@ -80,6 +82,19 @@ def _anchors(linked: DataFrame) -> DataFrame:
     )
 
 
+def days_of_calls(linked: DataFrame, calls: DataFrame) -> DataFrame:
+    """Call days of the assigned accounts, and whether a call of the day was unsaved.
+
+    Calls of other accounts go before anything is shuffled by day.
+    """
+    own = calls.withColumn("billing_account", account_key("Account")).join(
+        linked.select("billing_account").distinct(), "billing_account", "left_semi"
+    )
+    return own.groupBy(
+        "billing_account", F.col("idSubscrip").alias("id_subscrip"), "event_date"
+    ).agg(F.max(F.when(F.col("Saves__Digital_to_Digital_") == 0, 1).otherwise(0)).alias("unsaved"))
+
+
 def first_calls(
     linked: DataFrame, calls: DataFrame, strict_subscription: bool = False
 ) -> DataFrame:
@@ -89,11 +104,9 @@ def first_calls(
     cancel; `strict_subscription` limits it to the subscription itself. Calls are
     reduced to days first, so a hot account contributes at most one row per day.
     """
-    days = calls.groupBy(
-        account_key("Account").alias("billing_account"),
-        F.col("idSubscrip").alias("id_subscrip"),
-        "event_date",
-    ).agg(F.max(F.when(F.col("Saves__Digital_to_Digital_") == 0, 1).otherwise(0)).alias("unsaved"))
+    days = days_of_calls(linked, calls)
+    if not strict_subscription:
+        days = stage(days, "call_days")  # read for the account and for the subscription
     called = (
         _anchors(linked)
         .join(days, PAIR)
@@ -125,6 +138,7 @@ def first_online(linked: DataFrame, online: DataFrame) -> DataFrame:
     """First cancel-page visit and first confirmed cancel on or after the email date."""
     days = (
         online.where((F.col("entered_acc_mng") == 1) | (F.col("confirmed_cancel") == 1))
+        .join(linked.select("id_subscrip").distinct(), "id_subscrip", "left_semi")
         .groupBy("id_subscrip", "event_date")
         .agg(
             F.max("entered_acc_mng").alias("opened"),
@@ -246,24 +260,3 @@ def attach_behaviour(
     return outcomes.join(tiers, ["billing_account", "inference_date"], "left").join(
         behaviour, ["id_subscrip", "inference_date"], "left"
     )
-
-
-def outcome_table(
-    applied: DataFrame,
-    link: DataFrame,
-    weekly_source: DataFrame,
-    calls: DataFrame,
-    online: DataFrame,
-    start_stop: DataFrame,
-    metrics: DataFrame,
-    overrides: Mapping[dt.date, dt.date] = FILE_DATE_OVERRIDES,
-    strict_subscription: bool = False,
-) -> DataFrame:
-    """The full outcome row per assignment.
-
-    `assemble` already yields distinct rows and the columns after it are functions
-    of them, so no further DISTINCT is needed.
-    """
-    linked = link_subscriptions(clean_assignments(applied, overrides), link, weekly_source)
-    base = assemble(linked, calls, online, start_stop, strict_subscription)
-    return attach_behaviour(classify(derive_contacts(base)), weekly_source, metrics)

@@ -268,9 +268,9 @@ def match_segments(
 ) -> DataFrame:
     """Rows of the selected segments, missing fields matching missing fields.
 
-    `selected` went through a LIMIT, so its size is bounded and it is broadcast.
+    A `selected` that is small when it is measured is broadcast by AQE.
     """
-    return null_safe_join(df, F.broadcast(selected), segment_fields)
+    return null_safe_join(df, selected, segment_fields)
 
 
 def treatment_contrasts(

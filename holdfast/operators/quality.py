@@ -11,8 +11,11 @@ DEVIATION_THRESHOLD = 0.10
 
 
 def table_measures(df: DataFrame) -> DataFrame:
-    """Row count and null percentage over all cells, in one pass."""
-    nulls = " + ".join(f"count_if(`{c}` is null)" for c in df.columns)
+    """Row count and null percentage over all cells, in one pass; NaN is missing too."""
+    nulls = " + ".join(
+        f"count_if(`{c}` is null{f' or isnan(`{c}`)' if kind in ('float', 'double') else ''})"
+        for c, kind in df.dtypes
+    )
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.expr(f"coalesce(({nulls}) * 100.0D / nullif(count(1) * {len(df.columns)}, 0), 0.0D)").alias(
@@ -74,12 +77,17 @@ def metric_coverage(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     ).select(F.inline("m"), "rows").select("metric", "rows", "non_null")
 
 
-def require_valid_population(df: DataFrame, key: str, metrics: Sequence[str]) -> None:
-    """Raise when the population is empty, has a bad key or an empty metric."""
+def require_valid_population(
+    df: DataFrame, key: str, metrics: Sequence[str], whole: DataFrame | None = None
+) -> None:
+    """Raise when the population is empty, has a bad key or an empty metric.
+
+    The key is checked over `whole`, of which `df` is the analysed part.
+    """
     coverage = metric_coverage(df, metrics).collect()
     if coverage[0]["rows"] == 0:
         raise ValueError("The analysis population is empty.")
-    if not key_violations(df, key).isEmpty():
+    if not key_violations(df if whole is None else whole, key).isEmpty():
         raise ValueError(f"{key} must be present and unique on every row.")
     empty = [row["metric"] for row in coverage if row["non_null"] == 0]
     if empty:

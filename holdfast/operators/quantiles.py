@@ -2,10 +2,10 @@
 
 Spark's built-in `percentile` keeps every distinct value of a group in one
 executor's memory. Here values are first counted per (group, value), which
-combines map-side and spreads a hot group over all tasks. A monotone bin of the
-value then gives two-level ranks: bin totals say where each bin starts, and only
-the bins that hold a wanted rank are sorted. Both windows work on a bin or on a
-list of bins, and spill when they must.
+combines map-side and spreads a hot group over all tasks. Approximate percentiles
+of a group's distinct values cut it into bins of about equal size, wherever its
+values lie; bin totals say at which rank each bin starts, and only the bins that
+hold a wanted rank are sorted. The cuts decide the work per task, not the result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from holdfast.functions.keys import nan_to_null, null_safe_join
 from holdfast.sources.tables import stage
 
-BIN_RESOLUTION = 256
+# Bins of a group; no bin holds much more than this share of its distinct values.
+BINS = 64
 
 # The percentiles of a distribution summary.
 SUMMARY_PERCENTILES = {
@@ -64,16 +65,24 @@ def regroup_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
 
 
-def value_bin(value: Column) -> Column:
-    """Monotone bin of a double: about 0.4 % wide relative to its size."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BIN_RESOLUTION)
+def with_bins(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds `bin`, ascending with the value within a group.
+
+    The cuts are approximate percentiles of the distinct values: a sketch of fixed
+    size per group that combines map-side.
+    """
+    shares = [i / BINS for i in range(1, BINS)]
+    cuts = counts.groupBy(*keys).agg(
+        F.percentile_approx("value", shares, 20 * BINS).alias("cuts")
+    )
+    return null_safe_join(counts, cuts, keys).select(
+        *keys, "value", "n", F.expr("size(filter(cuts, c -> c < value))").alias("bin")
+    )
 
 
-def _bin_starts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _bin_starts(binned: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rank at which each bin of a group starts, with the group's total."""
-    totals = counts.groupBy(*keys, value_bin(F.col("value")).alias("bin")).agg(
-        F.sum("n").alias("bin_n")
-    )
+    totals = binned.groupBy(*keys, "bin").agg(F.sum("n").alias("bin_n"))
     group = Window.partitionBy(*keys)
     upto = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     return totals.select(
@@ -85,25 +94,19 @@ def _bin_starts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _pick_values(counts: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Resolve the wanted ranks of each target bin to values.
+def _stops(binned: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values of the target bins with the rank at which each one's run ends.
 
-    `targets` holds `keys`, `bin`, `bin_start` and `wanted`, an array of structs
-    with a `rank` field. Only the target bins are shuffled and sorted.
+    `targets` holds `keys`, `bin` and `bin_start`; its other columns stay.
     """
-    binned = counts.select(*keys, "value", "n", value_bin(F.col("value")).alias("bin"))
     upto = (
         Window.partitionBy(*keys, "bin")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = null_safe_join(binned, targets, [*keys, "bin"]).withColumn(
+    return null_safe_join(binned, targets, [*keys, "bin"]).withColumn(
         "stop", F.col("bin_start") + F.sum("n").over(upto)
     )
-    hits = F.expr("filter(wanted, w -> w.rank >= stop - n and w.rank < stop)")
-    return ranked.select(*keys, "value", F.explode(hits).alias("w")).select(
-        *keys, "w.*", "value"
-    )
 
 
 def order_statistics(
@@ -120,13 +123,16 @@ def order_statistics(
         named_struct('rank', cast(ceil(p * (total - 1)) as bigint), 'slot', 2 * i + 1, 'total', total)
     )))"""
     in_bin = "w -> w.rank >= bin_start and w.rank < bin_start + bin_n"
+    binned = with_bins(counts, keys)
     targets = (
-        _bin_starts(counts, keys)
+        _bin_starts(binned, keys)
         .select(*keys, "bin", "bin_start", F.expr(f"filter({ranks}, {in_bin})").alias("wanted"))
         .where("size(wanted) > 0")
     )
     # Two entries per probability, so the per-group map has a fixed size.
-    picked = _pick_values(counts, targets, keys).groupBy(*keys).agg(
+    hits = F.expr("filter(wanted, w -> w.rank >= stop - n and w.rank < stop)")
+    ranked = _stops(binned, targets, keys).select(*keys, "value", F.explode(hits).alias("w"))
+    picked = ranked.select(*keys, "w.*", "value").groupBy(*keys).agg(
         F.max("total").alias("n"),
         F.expr("map_from_entries(collect_list(struct(slot, value)))").alias("at"),
     )
@@ -151,7 +157,8 @@ def values_at_ranks(
     `draw` turns groups (`keys`, `total`) into rows with `keys`, a 0-based `rank`
     and payload columns; a fixed number per group. Returns those rows with `value`.
     """
-    bins = _bin_starts(counts, keys)
+    binned = with_bins(counts, keys)
+    bins = _bin_starts(binned, keys)
     ranks = draw(bins.where(F.col("bin_start") == 0).select(*keys, "total"))
     payload = [c for c in ranks.columns if c not in keys]
     wanted = ranks.select(*keys, F.col("rank").alias("pos"), F.struct(*payload).alias("w"))
@@ -166,13 +173,27 @@ def values_at_ranks(
         .orderBy("pos", F.col("w").isNotNull())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    targets = (
+    located = (
         events.withColumn("at", F.last("at", ignorenulls=True).over(upto))
         .where(F.col("w").isNotNull())
-        .groupBy(*keys, F.col("at.bin").alias("bin"), F.col("at.bin_start").alias("bin_start"))
-        .agg(F.collect_list("w").alias("wanted"))
+        .select(*keys, F.col("at.bin").alias("bin"), F.col("at.bin_start").alias("bin_start"), "pos", "w")
+    )
+    targets = located.select(*keys, "bin", "bin_start").distinct()
+    # Then its value, alike: downwards, the last run end above a rank is its value's.
+    runs = _stops(binned, targets, keys).select(
+        *keys, "bin", F.col("stop").alias("pos"), F.struct("value").alias("v")
+    )
+    merged = runs.unionByName(located.drop("bin_start"), allowMissingColumns=True)
+    down = (
+        Window.partitionBy(*keys, "bin")
+        .orderBy(F.desc("pos"), F.col("v").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        merged.withColumn("v", F.last("v", ignorenulls=True).over(down))
+        .where(F.col("w").isNotNull())
+        .select(*keys, "w.*", "v.value")
     )
-    return _pick_values(counts, targets, keys)
 
 
 def interpolate(

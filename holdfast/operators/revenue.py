@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import labels
 from holdfast.functions.dates import EXPERIMENT_START
-from holdfast.functions.keys import account_key
+from holdfast.functions.keys import account_key, null_safe_join
 from holdfast.operators.outcome import PAIR
 
 STRATEGY = ["cohort", "Treatment"]
+TERMS = ["churned", "offered_rate", "new_rate", "pricing_effective_date", "__earlist_contact_date"]
 CNRC_WINDOWS = (30, 60, 90)
 
 
@@ -52,20 +53,22 @@ def evaluable(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def qualifying_payments(population: DataFrame, facts: DataFrame) -> DataFrame:
+def qualifying_payments(
+    population: DataFrame, facts: DataFrame, by: Sequence[str] = STRATEGY
+) -> DataFrame:
     """Payments after the first contact and not before the new price.
 
-    Payments are first counted per account, day and amount: an account with a
-    flood of invoices then brings one row per distinct day and amount to the
-    join. `payments` is that count and weighs every later sum.
+    Payments are limited to contacted accounts and then counted per account, day
+    and amount: an account with a flood of invoices brings one row per distinct
+    day and amount to the join. `payments` is that count and weighs every later
+    sum. The columns `by` of the population stay.
     """
-    daily = facts.groupBy(*PAIR, "id_payment_date", "billing_amount").agg(
+    contacted = population.where(F.col("__earlist_contact_date").isNotNull())
+    own = facts.join(contacted.select(*PAIR).distinct(), PAIR, "left_semi")
+    daily = own.groupBy(*PAIR, "id_payment_date", "billing_amount").agg(
         F.count(F.lit(1)).alias("payments")
     )
-    terms = population.select(
-        *PAIR, *STRATEGY, "churned", "offered_rate", "new_rate", "pricing_effective_date",
-        "__earlist_contact_date",
-    )
+    terms = contacted.select(*PAIR, *by, *TERMS)
     return terms.join(daily, PAIR).where(
         (F.col("id_payment_date") > F.col("__earlist_contact_date"))
         & (F.col("id_payment_date") >= F.col("pricing_effective_date"))
@@ -150,20 +153,21 @@ def cnrc(
     by: Sequence[str] = STRATEGY,
 ) -> DataFrame:
     """Cumulative net revenue per caller: what retained customers paid within N
-    days of contact, divided by all contacted accounts of the strategy."""
+    days of contact, divided by all contacted accounts of the group.
+
+    Groups are `by`, a missing value being a group. An account that stands in
+    several groups, as one with several risk tiers, counts in each.
+    """
     contacted = evaluable(outcomes).where(F.col("__earlist_contact_date").isNotNull())
     callers = contacted.groupBy(*by).agg(
         F.count_distinct("billing_account").alias("callers")
     )
     # The tier join may fan an account out; revenue must count each row once.
-    terms = contacted.select(
-        *PAIR, *STRATEGY, "churned", "offered_rate", "new_rate", "pricing_effective_date",
-        "__earlist_contact_date",
-    ).distinct()
+    terms = contacted.select(*PAIR, *by, *TERMS).distinct()
     age = F.date_diff("id_payment_date", "__earlist_contact_date")
     amount = F.col("billing_amount") * F.col("payments")
     paid = (
-        qualifying_payments(terms.where(F.col("churned") == 0), facts)
+        qualifying_payments(terms.where(F.col("churned") == 0), facts, by)
         .groupBy(*by)
         .agg(*[F.sum(F.when(age <= days, amount)).alias(f"d{days}") for days in windows])
     )
@@ -179,7 +183,7 @@ def cnrc(
         )
     )
     return (
-        callers.join(paid, list(by), "left")
+        null_safe_join(callers, paid, list(by), "left")
         .select(*by, "callers", spread.alias("w"))
         .select(
             *by,

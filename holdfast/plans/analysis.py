@@ -6,7 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from holdfast.functions.labels import TREATMENTS
 from holdfast.operators import distribution, population, profile, quality
 from holdfast.sources.tables import export_csv, stage
 
@@ -35,7 +37,7 @@ def analyze(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, D
     labelled = stage(labelled, "labelled")
     analysis = population.subset(labelled, "analysis")
     contacted = population.subset(labelled, "contacted")
-    quality.require_valid_population(analysis, population.ACCOUNT, s.metrics)
+    quality.require_valid_population(analysis, population.ACCOUNT, s.metrics, whole=labelled)
     contexts = {title: population.members(n) for title, n in population.CONTEXT_POPULATIONS}
 
     counts = profile.population_counts(analysis, s.metrics, s.segment_fields)
@@ -81,6 +83,18 @@ def analyze(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, D
     }
 
 
-def export(results: dict[str, DataFrame], folder: str) -> None:
+def export(
+    results: dict[str, DataFrame], folder: str, segment_fields: Sequence[str] = population.SEGMENT_FIELDS
+) -> None:
+    """CSV per result, rows in the order of the report: a staged table has none."""
+    order = {
+        "behavior_profiles": [
+            F.desc_nulls_last("profile_magnitude"), F.desc("users"), "outcome", *segment_fields
+        ],
+        "saved_minus_stopped_contrasts": ["segment_rank"],
+        "selected_segment_treatment_contrasts": [
+            "segment_rank", F.array_position(F.array(*map(F.lit, TREATMENTS)), F.col("Treatment"))
+        ],
+    }
     for name, df in results.items():
-        export_csv(df, f"{folder}/{name}")
+        export_csv(df.orderBy(*order[name]) if name in order else df, f"{folder}/{name}")

@@ -97,7 +97,9 @@ def extract(
 def assess_snapshot(spark: SparkSession, path: str, day: dt.date, target: Target) -> dict:
     """Measure a snapshot against earlier runs and append the record."""
     script = target.script.rsplit("/", 1)[-1]
-    measures = quality.table_measures(tables.read_snapshot(spark, path))
+    # The table's schema is known; inferring it would read a CSV twice.
+    schema = spark.read.parquet(target.table).schema
+    measures = quality.table_measures(tables.read_snapshot(spark, path, schema))
     baseline = quality.history_baseline(tables.load_history(spark, target.log), script)
     verdicts = quality.assess(measures, baseline).first().asDict()
     record = {
@@ -110,6 +112,11 @@ def assess_snapshot(spark: SparkSession, path: str, day: dt.date, target: Target
     return record
 
 
+def _summary(error: Exception) -> str:
+    """First line of an error's text, or its kind if it has none."""
+    return next(iter(str(error).splitlines()), "") or type(error).__name__
+
+
 def run(
     spark: SparkSession,
     query: Query,
@@ -136,5 +143,5 @@ def run(
                 )
             statuses.append((day, True, rows, path, None))
         except Exception as error:  # one bad date must not stop the others
-            statuses.append((day, False, None, None, str(error).splitlines()[0]))
+            statuses.append((day, False, None, None, _summary(error)))
     return spark.createDataFrame(statuses, STATUS_SCHEMA)

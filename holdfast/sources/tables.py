@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from holdfast.schemas import RUN_LOG, RUN_LOG_FIELDS
 
@@ -23,18 +25,53 @@ _ABSENT = {
 }
 
 
+_scopes: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir`, or a temporary one
-    where the session names none (local runs and tests)."""
+    """Folder all executors can reach: `spark.checkpoint.dir`.
+
+    Where the session names none, a local session uses a temporary folder; on a
+    cluster that would be a different folder on each machine, so it is an error.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if configured is None and not sc.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="holdfast-"))
     return configured or sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/holdfast/{uuid.uuid4().hex}/{name}"
+    folder = _scopes[-1] if _scopes else f"{shared_dir(spark)}/holdfast"
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside goes to one folder, which is deleted at the end.
+
+    Results that are read later must be written elsewhere before it ends.
+    """
+    folder = f"{shared_dir(spark)}/holdfast/scope-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        _delete(spark, folder)
+
+
+def _path(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """A path of any store Spark reaches, and its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, store = _path(spark, path)
+    store.delete(at, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -58,7 +95,9 @@ def run_query(spark: SparkSession, query: str, run_date: dt.date, **tables: Data
     return spark.sql(query, args={"run_date": run_date}, **tables)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str | StructType
+) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
@@ -95,8 +134,7 @@ def replace_partition(df: DataFrame, table: str, field: str, day: dt.date) -> in
     )
     rows = written.get["rows"]
     if rows == 0:
-        empty = df.limit(0).drop(field)
-        empty.write.mode("overwrite").parquet(f"{table}/{field}={day.isoformat()}")
+        _delete(df.sparkSession, f"{table}/{field}={day.isoformat()}")
     return rows
 
 
@@ -105,13 +143,17 @@ def read_partition(spark: SparkSession, table: str, field: str, day: dt.date) ->
 
 
 def latest_partition(spark: SparkSession, table: str, field: str) -> dt.date | None:
-    """Newest loaded date; None when the table or the column does not exist."""
-    try:
-        return spark.read.parquet(table).agg(F.max(field)).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
-            return None
-        raise
+    """Newest loaded date; None when the table or the partitions do not exist.
+
+    Read from the names of the partition folders: no data file is opened.
+    """
+    at, store = _path(spark, table)
+    if not store.exists(at):
+        return None
+    names = [entry.getPath().getName() for entry in store.listStatus(at) if entry.isDirectory()]
+    values = [name.removeprefix(f"{field}=") for name in names if name.startswith(f"{field}=")]
+    days = [dt.date.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
+    return max(days, default=None)
 
 
 def default_snapshot_path(folder: str, now: dt.datetime | None = None) -> str:
@@ -131,7 +173,7 @@ def snapshot(
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, schema: str | None = None
+    spark: SparkSession, path: str, schema: str | StructType | None = None
 ) -> DataFrame:
     if path.endswith(".parquet"):
         return spark.read.parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.dates import EXPERIMENT_START
 from holdfast.functions.labels import web_flags
 from holdfast.operators.intervals import effective_join
+from holdfast.sources.tables import stage
 
 FLAGS = ("entered_acc_mng", "confirmed_cancel", "success_save")
 VISIT_KEYS = ("event_date", "anonymous_id", "website_id")
@@ -97,7 +98,8 @@ def online_cancel_events(
 ) -> DataFrame:
     """Cancel-flow visits of one day (never before the experiment) by subscription."""
     day = F.lit(max(run_date, experiment_start))
-    visits = roll_up_flags(flag_events(events.where(F.col("event_date") == day)))
+    # Small after the roll-up and read twice below; events are scanned once.
+    visits = stage(roll_up_flags(flag_events(events.where(F.col("event_date") == day))), "visits")
     # Versions not valid that day cannot match; drop them before they fan out.
     current = subscriptions.where(day.between(F.col("effective_date"), F.col("end_date")))
     return attribute_events(visits, identity_map(current, known, product, visits))

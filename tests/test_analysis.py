@@ -1,13 +1,16 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import METRICS, SEGMENTS
+from conftest import CELLS, COLUMNS, METRICS, SEGMENTS, account_rows
 from holdfast.operators import charts, distribution, population, profile
 from holdfast.plans import analysis
 from holdfast.sources.tables import stage
 
+MIN_USERS = 6
+
 
 @pytest.fixture(scope="module")
 def reference(accounts):
@@ -16,9 +19,8 @@ def reference(accounts):
 
 @pytest.fixture(scope="module")
 def profiles(accounts, reference):
-    return stage(
-        profile.behavior_profiles(accounts, reference, METRICS, ["outcome", *SEGMENTS], min_n=10)
-    )
+    keys = ["outcome", *SEGMENTS]
+    return stage(profile.behavior_profiles(accounts, reference, METRICS, keys, min_n=MIN_USERS))
 
 
 @pytest.fixture(scope="module")
@@ -26,109 +28,144 @@ def contrasts(profiles):
     return stage(profile.outcome_contrasts(profiles, METRICS, SEGMENTS))
 
 
-def test_distribution_summary(spark):
-    data = [(1.0,), (1.0,), (1.0,), (100.0,), (None,)]
-    row = distribution.distribution_summary(
-        spark.createDataFrame(data, "metric double").withColumnRenamed("metric", "m"), ["m"]
-    ).first()
-    assert (row["row_count"], row["non_null_count"], row["null_count"]) == (5, 4, 1)
-    assert row["null_pct"] == 20.0
-    assert row["median"] == row["p50"] == 1.0
-    assert row["iqr"] == row["p75"] - row["p25"]
-    assert (row["outlier_count"], row["outlier_pct"]) == (1, 25.0)
-    assert row["mean"] == 25.75
-    assert row["std"] == pytest.approx(49.5)
-
-
-def test_distribution_summary_of_missing_and_empty(spark):
-    missing = spark.createDataFrame([(None,), (None,)], "m double")
-    row = distribution.distribution_summary(missing, ["m"]).first()
-    assert (row["row_count"], row["non_null_count"], row["null_pct"]) == (2, 0, 100.0)
-    assert row["outlier_pct"] is None and row["median"] is None
-    row = distribution.distribution_summary(missing.limit(0), ["m"]).first()
+def values(metric, outcome=None, segment=None):
+    """Values of the fixture, without missing ones."""
+    rows = [dict(zip(COLUMNS, r, strict=True)) for r in account_rows()]
+    picked = [
+        r[metric]
+        for r in rows
+        if outcome in (None, r["outcome"]) and (segment is None or tuple(r[s] for s in SEGMENTS) == segment)
+    ]
+    return np.array([v for v in picked if v is not None])
+
+
+def bounds(metric):
+    """Clip bounds, centre and spread by hand."""
+    v = values(metric)
+    low, q1, mid, q3, high = np.quantile(v, [0.01, 0.25, 0.5, 0.75, 0.99])
+    return low, mid, (q3 - q1) or (high - low) or 1.0, high
+
+
+def score(metric, v):
+    low, mid, spread, high = bounds(metric)
+    return (np.clip(v, low, high) - mid) / spread
+
+
+MATCHED = [segment for segment, saved, stopped in CELLS if min(saved, stopped) >= MIN_USERS]
+
+
+def test_distribution_summary_equals_numpy(accounts):
+    got = {(r["outcome"], r["field"]): r for r in distribution.distribution_summary(accounts, METRICS, ["outcome"]).collect()}
+    assert len(got) == 2 * len(METRICS)
+    for (outcome, metric), row in got.items():
+        v = values(metric, outcome)
+        users = sum(c[1 if outcome == "Saved" else 2] for c in CELLS)
+        assert (row["row_count"], row["non_null_count"]) == (users, len(v))
+        assert row["null_pct"] == pytest.approx(100 * (users - len(v)) / users)
+        assert (row["zero_count"], row["negative_count"]) == ((v == 0).sum(), (v < 0).sum())
+        assert (row["min"], row["max"]) == (v.min(), v.max())
+        assert row["mean"] == pytest.approx(v.mean()) and row["std"] == pytest.approx(v.std(ddof=1))
+        q1, q3 = np.quantile(v, [0.25, 0.75])
+        assert row["iqr"] == pytest.approx(q3 - q1) and row["p10"] == pytest.approx(np.quantile(v, 0.1))
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert row["outlier_count"] == ((v < low) | (v > high)).sum()
+
+
+def test_distribution_summary_of_nothing(spark):
+    none = spark.createDataFrame([(None,), (float("nan"),), (None,)], "m double")
+    row = distribution.distribution_summary(none, ["m"]).first()
+    assert (row["row_count"], row["null_count"], row["null_pct"], row["p50"], row["outlier_pct"]) == (3, 3, 100.0, None, None)
+    row = distribution.distribution_summary(none.limit(0), ["m"]).first()
     assert (row["field"], row["row_count"], row["null_pct"]) == ("m", 0, None)
 
 
-def test_segment_summary_counts_accounts_and_keeps_missing(spark, accounts):
-    first = accounts.where("billing_account = 'acct_000'")
-    rekeyed = accounts.where("billing_account = 'acct_001'").withColumns(
-        {"billing_account": F.lit("missing-risk"), "src_risk_tier": F.lit(None).cast("string")}
-    )
-    summary = distribution.segment_summary(
-        accounts.unionByName(first).unionByName(rekeyed), "src_risk_tier", METRICS
-    )
-    users = {r["src_risk_tier"]: r["users"] for r in summary.collect()}
-    assert users == {"Low": 40, None: 21, "Medium": 20}
+def test_segment_summary_counts_an_account_once_a_value(accounts):
+    """Repeated rows count once; an account in two tiers counts in both."""
+    moved = accounts.where("billing_account = 'web-1-Sa-0'").withColumn("src_risk_tier", F.lit("1. Low"))
+    rows = accounts.unionByName(accounts).unionByName(moved)
+    users = {r["src_risk_tier"]: r["users"] for r in distribution.segment_summary(rows, "src_risk_tier", METRICS).collect()}
+    assert users == {None: 23, "2. Medium": 29, "1. Low": 6, "3. High": 14}
+    got = {r["src_risk_tier"]: r for r in distribution.segment_summary(accounts, "src_risk_tier", METRICS).collect()}
+    tier = values("tt_cost", segment=CELLS[1][0])
+    assert got["2. Medium"]["avg_tt_cost"] == pytest.approx(tier.mean())
+    assert got["2. Medium"]["p90_tt_cost"] == pytest.approx(np.quantile(tier, 0.9))
 
 
-def test_reference_and_scores(accounts, reference):
-    spreads = {r["metric"]: r["spread"] for r in reference.collect()}
-    assert spreads["constant_metric"] == 1.0
-    scored = profile.score_metrics(accounts, METRICS, reference)
-    rows = scored.select(*METRICS).collect()
-    assert all(r["constant_metric"] == 0.0 for r in rows)
-    assert all(math.isfinite(r[m]) for r in rows for m in METRICS)
-    median = scored.agg(F.median("frequency")).first()[0]
-    assert median == pytest.approx(0.0)
+def test_reference_equals_numpy(reference):
+    for row in reference.collect():
+        assert (row["p01"], row["center"], row["spread"], row["p99"]) == pytest.approx(bounds(row["metric"]))
+    assert {r["metric"]: r["spread"] for r in reference.collect()}["flat"] == 1.0
+
+
+def test_scores_are_finite_and_centred(accounts, reference):
+    scored = profile.score_metrics(accounts, METRICS, reference).select(*METRICS).collect()
+    for metric in METRICS:
+        got = sorted(r[metric] for r in scored if r[metric] is not None)
+        assert got == pytest.approx(sorted(score(metric, values(metric)))) and all(map(math.isfinite, got))
 
 
 def test_reference_of_metric_without_values(spark):
-    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
-    row = profile.fit_reference(df, ["a", "b"]).where("metric = 'b'").first()
-    assert (row["p01"], row["center"], row["spread"], row["p99"]) == (None, None, 1.0, None)
+    df = spark.createDataFrame([(None, 4.0), (None, 6.0)], "empty double, full double")
+    row = profile.fit_reference(df, ["empty", "full"]).where("metric = 'empty'").first()
+    assert tuple(row) == ("empty", None, None, 1.0, None)
 
 
-def test_contrasts_reuse_profiles(profiles, contrasts):
-    assert profiles.count() == 8
+def test_profiles_and_contrasts_equal_numpy(profiles, contrasts):
+    cells = {(o, c[0]) for c in CELLS for o, n in (("Saved", c[1]), ("Stopped", c[2])) if n >= MIN_USERS}
+    assert {(r["outcome"], tuple(r[s] for s in SEGMENTS)) for r in profiles.collect()} == cells
     rows = contrasts.orderBy("segment_rank").collect()
-    assert len(rows) == 4
-    assert all(r["n__saved"] == r["n__stopped"] == 10 for r in rows)
-    assert all(r["delta__frequency"] > 0 and r["delta__tt_cost"] < 0 for r in rows)
+    assert {tuple(r[s] for s in SEGMENTS) for r in rows} == set(MATCHED)
     sizes = [r["contrast_magnitude"] for r in rows]
     assert sizes == sorted(sizes, reverse=True)
-    for row in rows:
-        saved = profiles.where("outcome = 'Saved'")
-        for field in SEGMENTS:
-            saved = saved.where(F.col(field).eqNullSafe(F.lit(row[field])))
-        assert saved.first()["median__frequency"] == row["median_saved__frequency"]
+    for r in rows:
+        segment = tuple(r[s] for s in SEGMENTS)
+        _, saved, stopped = next(c for c in CELLS if c[0] == segment)
+        assert (r["n__saved"], r["n__stopped"]) == (saved, stopped)
+        assert r["observed_saved_share"] == pytest.approx(saved / (saved + stopped))
+        for metric in METRICS:
+            one, two = (values(metric, o, segment) for o in ("Saved", "Stopped"))
+            assert r[f"median_saved__{metric}"] == pytest.approx(np.median(one))
+            delta = np.median(score(metric, one)) - np.median(score(metric, two))
+            assert r[f"delta__{metric}"] == pytest.approx(delta)
 
 
-def test_no_match_raises(profiles):
-    only_saved = profile.outcome_contrasts(profiles.where("outcome = 'Saved'"), METRICS, SEGMENTS)
-    with pytest.raises(ValueError, match="No Saved and Stopped"):
-        profile.require_rows(only_saved, "No Saved and Stopped profile rows share a segment.")
+def test_one_sided_profiles_have_no_contrast(profiles):
+    alone = profile.outcome_contrasts(profiles.where("outcome = 'Stopped'"), METRICS, SEGMENTS)
+    with pytest.raises(ValueError, match="share a segment"):
+        profile.require_rows(alone, "No rows share a segment.")
 
 
-def test_treatments_in_fixed_order(accounts, contrasts, reference):
-    rows = profile.treatment_contrasts(
-        accounts, contrasts, reference, METRICS, SEGMENTS, top_n=2, min_n=2
-    ).collect()
+def test_treatment_grid_is_full_and_ordered(accounts, contrasts, reference):
+    rows = profile.treatment_contrasts(accounts, contrasts, reference, METRICS, SEGMENTS, top_n=3, min_n=2).collect()
     assert [(r["segment_rank"], r["Treatment"]) for r in rows] == [
-        (k, t) for k in (0, 1) for t in ("Control", "Midpoint", "Tiered")
+        (k, t) for k in range(len(MATCHED)) for t in ("Control", "Midpoint", "Tiered")
     ]
-    assert all(r["supported"] and r["delta__frequency"] is not None for r in rows)
+    raw = account_rows()
+    for r in rows:
+        cell = [x for x in raw if x[2:6] == tuple(r[s] for s in SEGMENTS) and x[6] == r["Treatment"]]
+        sides = [sum(x[1] == o for x in cell) for o in ("Saved", "Stopped")]
+        assert [r["n__saved"], r["n__stopped"]] == sides
+        assert r["supported"] == (min(sides) >= 2)
+        assert (r["delta__frequency"] is None) == (min(sides) < 2)
 
 
-def test_unsupported_treatment_rows_stay(accounts, contrasts, reference):
-    few = accounts.where("Treatment <> 'Tiered'")
-    rows = profile.treatment_contrasts(few, contrasts, reference, METRICS, SEGMENTS, 4, 2).collect()
-    tiered = [r for r in rows if r["Treatment"] == "Tiered"]
-    assert len(rows) == 12 and len(tiered) == 4
-    for r in tiered:
-        assert (r["n__saved"], r["total_users"], r["supported"]) == (0, 0, False)
-        assert r["observed_saved_share"] is None and r["contrast_magnitude"] is None
+def test_treatment_without_accounts_stays(accounts, contrasts, reference):
+    rest = accounts.where("Treatment <> 'Midpoint'")
+    rows = profile.treatment_contrasts(rest, contrasts, reference, METRICS, SEGMENTS, 3, 2).collect()
+    gone = [r for r in rows if r["Treatment"] == "Midpoint"]
+    assert len(gone) == len(MATCHED)
+    assert all((r["total_users"], r["supported"], r["observed_saved_share"], r["contrast_magnitude"]) == (0, False, None, None) for r in gone)
 
 
-def test_details_and_bootstrap(accounts, contrasts, reference):
+def test_detail_intervals_hold_the_difference(accounts, contrasts, reference):
     rows = profile.segment_details(
-        accounts, contrasts, reference, METRICS, SEGMENTS, top_n=2, bootstrap_iterations=100, seed=7
+        accounts, contrasts, reference, METRICS, SEGMENTS, top_n=3, bootstrap_iterations=200, seed=3
     ).collect()
-    assert len(rows) == 2 * len(METRICS)
+    assert len(rows) == len(MATCHED) * len(METRICS)
     for r in rows:
-        assert r["n__saved"] == r["n__stopped"] == r["non_null__saved"] == 10
-        assert r["clipped_iqr__saved"] >= 0
         low, high = r["clipped_median_difference_ci_lower"], r["clipped_median_difference_ci_upper"]
         assert low <= r["clipped_median_difference"] <= high
+        assert r["n__saved"] - r["non_null__saved"] == (r["metric"] == "tt_cost")
 
 
 def test_detail_clips_the_median_and_profile_takes_the_median_of_clipped(spark):
@@ -235,45 +272,68 @@ def test_population_labels_and_funnel(spark):
     assert counts == [5, 1, 3, 2, 1, 1, 0]
 
 
-def test_three_scales_and_boxes(accounts):
+def test_three_scales_and_boxes_equal_numpy(accounts):
     groups = ["Saved", "Stopped"]
     long = charts.three_scales(accounts, "outcome", groups, METRICS)
-    assert long.count() == 80 * len(METRICS)
-    assert {r["accounts"] for r in charts.group_accounts(accounts, "outcome", groups).collect()} == {40}
+    assert long.count() == sum(len(values(m)) for m in METRICS)
+    people = {r["outcome"]: r["accounts"] for r in charts.group_accounts(accounts, "outcome", groups).collect()}
+    assert people == {"Saved": 44, "Stopped": 27}
     boxes = charts.box_statistics(accounts, "outcome", groups, METRICS).collect()
     assert len(boxes) == 2 * len(METRICS) * 3
     for box in boxes:
-        assert box["n"] == 40
-        assert box["whisker_low"] <= box["q1"] <= box["median"] <= box["q3"] <= box["whisker_high"]
+        low, _, _, high = bounds(box["metric"])
+        v = values(box["metric"], box["outcome"])
+        scale = {"original": v, "clipped": np.clip(v, low, high), "standardized": score(box["metric"], v)}[box["scale"]]
+        q1, mid, q3 = np.quantile(scale, [0.25, 0.5, 0.75])
+        inside = scale[(scale >= q1 - 1.5 * (q3 - q1) - 1e-12) & (scale <= q3 + 1.5 * (q3 - q1) + 1e-12)]
+        assert (box["q1"], box["median"], box["q3"]) == pytest.approx((q1, mid, q3))
+        assert (box["n"], box["fliers"]) == (len(v), len(v) - len(inside))
+        assert box["whisker_low"] == pytest.approx(min(inside.min(), q1))
+        assert box["whisker_high"] == pytest.approx(max(inside.max(), q3))
 
 
 def test_panels(accounts, contrasts, reference):
-    panels = charts.contrast_panels(accounts, contrasts, reference, METRICS, SEGMENTS, top_n=2)
-    assert panels.count() == 2 * 20 * len(METRICS)
-    people = charts.panel_accounts(accounts, contrasts, SEGMENTS, top_n=2).collect()
-    assert sorted((r["segment_rank"], r["outcome"], r["accounts"]) for r in people) == [
-        (k, o, 10) for k in (0, 1) for o in ("Saved", "Stopped")
-    ]
+    top = contrasts.where("segment_rank = 0").first()
+    segment = tuple(top[s] for s in SEGMENTS)
+    panels = charts.contrast_panels(accounts, contrasts, reference, METRICS, SEGMENTS, top_n=1)
+    assert panels.where("score is not null").count() == sum(len(values(m, None, segment)) for m in METRICS)
+    people = charts.panel_accounts(accounts, contrasts, SEGMENTS, top_n=1).collect()
+    assert {(r["segment_rank"], r["outcome"], r["accounts"]) for r in people} == {
+        (0, "Saved", top["n__saved"]), (0, "Stopped", top["n__stopped"])
+    }
     labels = [r["row_label"] for r in charts.heatmap(contrasts, "contrast", METRICS, 1).collect()]
-    assert len(labels) == 1 and labels[0].startswith("0. ") and labels[0].endswith("(n=10/10)")
+    assert len(labels) == 1 and labels[0].endswith(f"(n={top['n__saved']}/{top['n__stopped']})")
 
 
-def test_full_analysis(spark, accounts, tmp_path):
-    labelled = accounts.withColumns(
-        {
-            "status": F.when(F.col("outcome") == "Saved", "saved").otherwise("stoped"),
-            "likely_discount_shopper": F.lit("Other"),
-        }
-    )
+def _labelled(accounts):
+    status = F.when(F.col("outcome") == "Saved", "saved").otherwise("stoped")
+    return accounts.withColumns({"status": status, "likely_discount_shopper": F.lit("Other")})
+
+
+def test_full_analysis_exports_in_order(spark, accounts, tmp_path):
     settings = analysis.Settings(
-        min_profile_users=10, min_treatment_users=2, top_contrasts=2, bootstrap_iterations=50
+        min_profile_users=MIN_USERS, min_treatment_users=2, top_contrasts=2, bootstrap_iterations=50
     )
-    results = analysis.analyze(labelled, settings)
+    results = analysis.analyze(_labelled(accounts), settings)
     analysis.export(results, str(tmp_path))
-    sizes = {n: spark.read.option("header", True).csv(f"{tmp_path}/{n}").count() for n in results}
-    assert sizes == {
-        "population_counts": 7, "distribution_summary": 12, "primary_segment_summaries": 13,
+    tables = {n: spark.read.option("header", True).csv(f"{tmp_path}/{n}").collect() for n in results}
+    assert {n: len(t) for n, t in tables.items()} == {
+        "population_counts": 7, "distribution_summary": 12, "primary_segment_summaries": 15,
         "likely_discount_shopper_behavior_summary": 4, "primary_behavior_reference": 4,
-        "behavior_profiles": 8, "saved_minus_stopped_contrasts": 4,
+        "behavior_profiles": 6, "saved_minus_stopped_contrasts": 3,
         "selected_segment_treatment_contrasts": 6, "selected_segment_details": 24,
     }
+    sizes = [float(r["profile_magnitude"]) for r in tables["behavior_profiles"]]
+    assert sizes == sorted(sizes, reverse=True)
+    ranks = [int(r["segment_rank"]) for r in tables["saved_minus_stopped_contrasts"]]
+    assert ranks == sorted(ranks)
+
+
+def test_key_is_checked_over_the_whole_population(accounts):
+    """A repeated account outside the analysed part stops the analysis."""
+    untouched = accounts.where("billing_account = 'web-1-Sa-0'").withColumns(
+        {"billing_account": F.lit("twice"), "outcome": F.lit("No Action")}
+    )
+    labelled = _labelled(accounts.unionByName(untouched).unionByName(untouched))
+    with pytest.raises(ValueError, match="unique"):
+        analysis.analyze(labelled, analysis.Settings(min_profile_users=MIN_USERS, bootstrap_iterations=10))

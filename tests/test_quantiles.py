@@ -61,13 +61,40 @@ def test_values_at_ranks_returns_every_rank(spark):
     assert pairs == list(enumerate(sorted(values)))
 
 
-def test_bins_are_monotone(spark):
-    values = sorted(set(np.random.default_rng(0).normal(0, 1e5, 2000)) | {0.0, -1e-300, 1e300})
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").select(
-        "v", q.value_bin(F.col("v")).alias("b")
-    )
-    bins = [r["b"] for r in df.orderBy("v").collect()]
-    assert bins == sorted(bins)
+@pytest.mark.parametrize(
+    "values",
+    [
+        np.random.default_rng(0).normal(0, 1e5, 4000),
+        np.random.default_rng(1).uniform(0, 0.0039, 4000),  # rates
+        1_001_000 + np.random.default_rng(2).uniform(0, 3000, 4000),  # narrow, far from 0
+        np.concatenate([np.full(5000, 7.0), np.arange(4000.0)]),  # one value repeated
+        np.concatenate([-np.geomspace(1e-300, 1e300, 2000), np.geomspace(1e-300, 1e300, 2000), [np.inf, -np.inf, 0.0]]),
+    ],
+    ids=["wide", "rates", "narrow", "repeated", "extreme"],
+)
+def test_bins_follow_the_data(spark, values):
+    """Ascending with the value, and none holds more than a few times its share."""
+    df = spark.createDataFrame([("g", float(v)) for v in values], "g string, m double")
+    binned = q.with_bins(q.value_counts(df, ["g"], ["m"]), ["g", "metric"]).orderBy("value").collect()
+    bins = [r["bin"] for r in binned]
+    assert bins == sorted(bins) and len(binned) == len(set(values))
+    assert max(bins.count(b) for b in set(bins)) <= 3 * len(binned) / q.BINS
+
+
+def test_many_draws_in_a_narrow_group_stay_in_small_partitions(spark):
+    """Neither the values nor the draws of a group meet in one window partition."""
+    values = [0.5 + 1e-7 * i for i in range(20_000)]
+    counts = q.value_counts(spark.createDataFrame([("g", v) for v in values], "g string, m double"), ["g"], ["m"])
+    keys = ["g", "metric"]
+
+    def draw(groups):
+        every = F.explode(F.sequence(F.lit(0), F.lit(1999)))
+        return groups.select(*keys, every.alias("i")).select(*keys, (F.col("i") * 7919 % 20_000).cast("long").alias("rank"))
+
+    got = {r["rank"]: r["value"] for r in q.values_at_ranks(counts, keys, draw).collect()}
+    assert got == {i * 7919 % 20_000: values[i * 7919 % 20_000] for i in range(2000)}
+    sizes = q.with_bins(counts, keys).groupBy("bin").count().collect()
+    assert max(r["count"] for r in sizes) <= 3 * 20_000 / q.BINS
 
 
 def test_ranks_are_found_without_sorting_whole_groups(spark):

@@ -172,19 +172,21 @@ class Views:
 
     @cached_property
     def calls(self) -> DataFrame:
-        return self.events.where("event_type = 'view' and k < 6").selectExpr(
+        # Most calls are of a year before the experiment, so few accounts count as contacted.
+        return self.events.where("event_type = 'view'").selectExpr(
             "concat(' CUSTOMER#', lpad(cast(user_id as string), 9, '0')) as Account",
             "cast(10 * user_id + if(event_id % 4 = 0 and user_id % 50 = 0, 1, 0) as string)"
             " as idSubscrip",
-            "event_date",
+            "if(k < 6, event_date, date_sub(event_date, 365)) as event_date",
             "k % 2 as Saves__Digital_to_Digital_",
         )
 
     @cached_property
     def online(self) -> DataFrame:
-        opened, confirmed = "event_type = 'click' and k < 6", "event_type = 'purchase' and k < 3"
+        opened, confirmed = "event_type = 'click'", "event_type = 'purchase'"
+        recent = "k < if(event_type = 'click', 6, 3)"
         return self.events.where(f"({opened}) or ({confirmed})").selectExpr(
-            "event_date",
+            f"if({recent}, event_date, date_sub(event_date, 365)) as event_date",
             "cast(10 * user_id as string) as id_subscrip",
             f"if({opened}, 1, 0) as entered_acc_mng",
             f"if({confirmed}, 1, 0) as confirmed_cancel",

@@ -42,7 +42,9 @@ from workbench.adapter import (
 METRICS = list(population.METRICS)
 SEGMENTS = list(population.SEGMENT_FIELDS)
 TOP = 8
-BOOTSTRAP = 200
+BOOTSTRAP = 2000
+
+EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
 
 _QUERIES: dict[str, Callable[[Views], DataFrame]] = {}
 
@@ -104,7 +106,7 @@ def _call_rows(v: Views, kind: str) -> DataFrame:
 @query
 def s3_csv_append(v: Views) -> DataFrame:
     base = scratch_path(v.spark, "s3")
-    for kind in ("view", "error"):
+    for kind in EVENT_TYPES:
         tables.export_csv(_call_rows(v, kind), f"{base}/csv/{kind}")
         tables.append_csv(v.spark, f"{base}/csv/{kind}", CALL_CENTER, f"{base}/table")
     return v.spark.read.parquet(f"{base}/table")
@@ -123,10 +125,13 @@ def _daily(v: Views) -> DataFrame:
 
 
 def _loaded(v: Views, name: str) -> str:
+    """The daily table as an incremental run finds it, loaded up to the run date."""
+    return _partitioned(v, name, _daily(v).where(F.col("event_date") <= F.lit(RUN_DATE)))
+
+
+def _partitioned(v: Views, name: str, daily: DataFrame) -> str:
     path = scratch_path(v.spark, name)
-    _daily(v).where(F.col("event_date") <= F.lit(RUN_DATE)).write.partitionBy(
-        "event_date"
-    ).parquet(path)
+    daily.write.partitionBy("event_date").parquet(path)
     return path
 
 
@@ -143,7 +148,7 @@ def s5_replace_partition(v: Views) -> DataFrame:
 
 @query
 def s6_latest_partition(v: Views) -> DataFrame:
-    path = _loaded(v, "s6")
+    path = _partitioned(v, "s6", _daily(v))
     latest = tables.latest_partition(v.spark, path, "event_date")
     absent = tables.latest_partition(v.spark, f"{path}-absent", "event_date")
     return v.spark.createDataFrame([(latest, absent)], "latest date, absent date")
@@ -151,7 +156,7 @@ def s6_latest_partition(v: Views) -> DataFrame:
 
 @query
 def s7_snapshot_partition(v: Views) -> DataFrame:
-    path, day = _loaded(v, "s7"), dt.date(2024, 1, 5)
+    path, day = _partitioned(v, "s7", _daily(v)), dt.date(2024, 1, 5)
     copy = tables.snapshot(v.spark, path, "event_date", day, f"{path}-copy.parquet")
     return v.spark.read.parquet(copy).select("event_date", "user_id", "n")
 
@@ -169,7 +174,7 @@ def s8_read_snapshot(v: Views) -> DataFrame:
 @query
 def s9_run_log(v: Views) -> DataFrame:
     log = scratch_path(v.spark, "s9")
-    for kind in ("click", "view"):
+    for kind in EVENT_TYPES:
         measured = quality.table_measures(v.events.where(F.col("event_type") == kind)).first()
         tables.append_run_record(
             v.spark,
@@ -241,6 +246,8 @@ def _one_day(v: Views) -> incremental.Query:
         rows = _daily(v).where(F.col("event_date") == F.lit(day))
         if day.day == 13:
             raise RuntimeError("source unavailable")
+        if day.day == 15:
+            raise RuntimeError()
         return rows
 
     return build
@@ -248,9 +255,9 @@ def _one_day(v: Views) -> incremental.Query:
 
 @query
 def p5_error_isolation(v: Views) -> DataFrame:
-    days = [dt.date(2024, 1, d) for d in (11, 12, 13, 14)]
+    days = [dt.date(2024, 1, d) for d in range(11, 17)]
     status = incremental.run(v.spark, _one_day(v), _target(v, "p5"), days)
-    return printable_ints(status.select("run_date", "ok", "rows"), "rows")
+    return printable_ints(status.select("run_date", "ok", "rows", "error"), "rows")
 
 
 @query
@@ -354,11 +361,29 @@ def r12_identity_map(v: Views) -> DataFrame:
 
 @query
 def r13_event_attribution(v: Views) -> DataFrame:
-    visits = web.roll_up_flags(web.flag_events(v.web_events))
+    # Read for the visitors to map and for the attribution; events are scanned once.
+    visits = stage(web.roll_up_flags(web.flag_events(v.web_events)), "visits")
     identities = web.identity_map(v.subscriptions, v.known_consumers, v.product, visits)
     return web.attribute_events(visits, identities)
 
 
+def _cancel_day(v: Views, day: dt.date) -> DataFrame:
+    return web.online_cancel_events(
+        v.web_events, v.subscriptions, v.known_consumers, v.product, day, RUN_DATE
+    )
+
+
+@query
+def r13_cancel_events_of_a_day(v: Views) -> DataFrame:
+    return _cancel_day(v, dt.date(2024, 1, 20))
+
+
+@query
+def r13_cancel_events_before_the_start(v: Views) -> DataFrame:
+    """A run before the experiment takes the experiment's first day."""
+    return _cancel_day(v, dt.date(2024, 1, 2))
+
+
 # --- cardinality guardrail ------------------------------------------------------
 
 
@@ -586,6 +611,13 @@ def m11_cnrc(v: Views) -> DataFrame:
     return tidy(revenue.cnrc(_outcomes(v), _facts(v)))
 
 
+@query
+def m11_cnrc_by_tier(v: Views) -> DataFrame:
+    return tidy(
+        revenue.cnrc(_outcomes(v), _facts(v), by=[*revenue.STRATEGY, "src_risk_tier"])
+    )
+
+
 # --- contact history and rates --------------------------------------------------
 
 
@@ -695,6 +727,14 @@ def q1_null_percentage(v: Views) -> DataFrame:
     return tidy(quality.table_measures(v.labelled).select("null_percentage"), 6)
 
 
+@query
+def q1_nan_percentage(v: Views) -> DataFrame:
+    """Small frequencies as NaN: missing, like nulls."""
+    low = F.when(F.col("frequency") < 20, F.lit(float("nan"))).otherwise(F.col("frequency"))
+    rows = v.labelled.select("billing_account", low.alias("frequency"))
+    return tidy(quality.table_measures(rows).select("null_percentage"), 6)
+
+
 @query
 def q2_row_count(v: Views) -> DataFrame:
     return quality.table_measures(v.labelled).select("row_count")
@@ -719,16 +759,15 @@ def q4_deviation_verdicts(v: Views) -> DataFrame:
 
 @query
 def q5_assessment_record(v: Views) -> DataFrame:
-    target = incremental.Target(
-        table=scratch_path(v.spark, "q5"), script="click.sql", log=scratch_path(v.spark, "log")
-    )
-    v.run_log.write.json(target.log)
-    clicks = v.events.where("event_type = 'click'")
-    path = f"{target.table}.parquet"
-    clicks.write.parquet(path)
-    incremental.assess_snapshot(v.spark, path, RUN_DATE, target)
+    log = scratch_path(v.spark, "log")
+    v.run_log.write.json(log)
+    for kind in EVENT_TYPES:
+        target = incremental.Target(table=scratch_path(v.spark, "q5"), script=f"{kind}.sql", log=log)
+        tables.replace_table(v.events.where(F.col("event_type") == kind), target.table)
+        path = tables.snapshot(v.spark, target.table, None, None, f"{target.table}.csv")
+        incremental.assess_snapshot(v.spark, path, RUN_DATE, target)
     return tidy(
-        tables.load_history(v.spark, target.log)
+        tables.load_history(v.spark, log)
         .where("target_table <> 'runs'")
         .select(
             "run_date", "sql_file", "row_count", "null_percentage", "row_count_passed",
@@ -855,7 +894,7 @@ def d12_vector_magnitude(v: Views) -> DataFrame:
     return tidy(
         v.labelled.select(
             "billing_account",
-            scores.magnitude([F.col("frequency"), F.col("breadth")]).alias("magnitude"),
+            scores.magnitude([F.col(m) for m in METRICS]).alias("magnitude"),
         ),
         6,
     )
@@ -867,16 +906,15 @@ def d13_dominant_metric(v: Views) -> DataFrame:
         "frequency": F.col("frequency") - 46,
         "breadth": (F.col("breadth") - 4) * 10,
         "tenure": (F.col("tenure") - 1200) / 30,
+        "tt_cost": (F.col("tt_cost") - 150000) / 4000,
     }
     return v.labelled.select("billing_account", scores.dominant(named).alias("dominant_metric"))
 
 
 @query
 def d14_segment_match(v: Views) -> DataFrame:
-    two = v.analysis.groupBy(*SEGMENTS).agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), *SEGMENTS
-    ).limit(3)
-    return profile.match_segments(v.analysis, two.select(*SEGMENTS), SEGMENTS).select(
+    saved = v.analysis.where(F.col("outcome") == labels.SAVED).select(*SEGMENTS).distinct()
+    return profile.match_segments(v.analysis, saved, SEGMENTS).select(
         "billing_account", *SEGMENTS
     )
 
@@ -905,14 +943,9 @@ def d18_segment_details(v: Views) -> DataFrame:
     reference = _reference(v)
     details = profile.segment_details(
         v.staged_analysis, _treatments(v, reference), reference, METRICS, [*SEGMENTS, "Treatment"],
-        30, counts=v.analysis_counts,
-    )
-    return tidy(
-        details.drop(
-            "clipped_median_difference_ci_lower", "clipped_median_difference_ci_upper"
-        ),
-        6,
+        30, bootstrap_iterations=BOOTSTRAP, counts=v.analysis_counts,
     )
+    return tidy(details, 6)
 
 
 @query
@@ -929,6 +962,26 @@ def d19_bootstrap_intervals(v: Views) -> DataFrame:
     )
 
 
+# --- from the revenue table on ---------------------------------------------------
+
+
+def _notebook_population(v: Views) -> DataFrame:
+    """The revenue table, labelled as the analysis reads it."""
+    return stage(population.label_population(experiment.revenue_outcomes(v.tables, _outcomes(v), START), CUTOFF))
+
+
+@query
+def chain_funnel(v: Views) -> DataFrame:
+    return tidy(population.funnel(_notebook_population(v)))
+
+
+@query
+def chain_behavior_profiles(v: Views) -> DataFrame:
+    contacted = population.subset(_notebook_population(v), "contacted")
+    reference = stage(profile.fit_reference(contacted, METRICS), "reference")
+    return tidy(profile.behavior_profiles(contacted, reference, METRICS, min_n=2), 6)
+
+
 # --- chart data -----------------------------------------------------------------
 
 

@@ -110,12 +110,15 @@ VIEWS["v_calls"] = """
     select ' CUSTOMER#' || lpad(cast(user_id as varchar), 9, '0') as Account,
       cast(10 * user_id + case when event_id % 4 = 0 and user_id % 50 = 0 then 1 else 0 end as varchar)
         as idSubscrip,
-      event_date, k % 2 as saves from v_events where event_type = 'view' and k < 6"""
+      cast(case when k < 6 then event_date else event_date - 365 end as date) as event_date,
+      k % 2 as saves from v_events where event_type = 'view'"""
 VIEWS["v_online"] = """
-    select event_date, cast(10 * user_id as varchar) as id_subscrip,
+    select cast(case when k < case event_type when 'click' then 6 else 3 end then event_date
+        else event_date - 365 end as date) as event_date,
+      cast(10 * user_id as varchar) as id_subscrip,
       case when event_type = 'click' then 1 else 0 end as entered_acc_mng,
       case when event_type = 'purchase' then 1 else 0 end as confirmed_cancel
-    from v_events where (event_type = 'click' and k < 6) or (event_type = 'purchase' and k < 3)"""
+    from v_events where event_type in ('click', 'purchase')"""
 VIEWS["v_stops"] = """
     select cast(10 * user_id as varchar) as id_subscrip, 1 as perm_stoped,
       cast(event_date + 7 as date) as perm_stop_date, event_date as create_date
@@ -200,7 +203,7 @@ ORACLE["s2_run_date_query"] = """
 ORACLE["s3_csv_append"] = """
     select 'Customer#' || user_id as "Account", cast(10 * user_id as varchar) as "idSubscrip",
       event_date, k % 2 as "Saves__Digital_to_Digital_"
-    from v_events where event_type in ('view', 'error')"""
+    from v_events"""
 ORACLE["s4_replace_table"] = "select * from v_applied where modeltype = 'PCHURN'"
 VIEWS["v_daily"] = "select event_date, user_id, count(*) as n from v_events group by 1, 2"
 VIEWS["v_loaded"] = "select * from v_daily where event_date <= date '2024-01-10'"
@@ -208,14 +211,14 @@ ORACLE["s5_replace_partition"] = """
     select * from v_loaded where event_date not in (date '2024-01-05', date '2024-01-06')
       or (event_date = date '2024-01-05' and n > 1)"""
 ORACLE["s6_latest_partition"] = """
-    select max(event_date) as latest, cast(null as date) as absent from v_loaded"""
-ORACLE["s7_snapshot_partition"] = "select * from v_loaded where event_date = date '2024-01-05'"
+    select max(event_date) as latest, cast(null as date) as absent from v_daily"""
+ORACLE["s7_snapshot_partition"] = "select * from v_daily where event_date = date '2024-01-05'"
 ORACLE["s8_read_snapshot"] = "select * from v_daily"
 ORACLE["s9_run_log"] = """
     select '2024-01-10' as run_date, 'events' as target_table, event_type || '.sql' as sql_file,
       count(*) as row_count, cast(0 as double) as null_percentage, true as row_count_passed,
       true as nulls_passed
-    from v_events where event_type in ('click', 'view') group by event_type"""
+    from v_events group by event_type"""
 
 # --- incremental pipeline -------------------------------------------------------
 
@@ -234,9 +237,10 @@ ORACLE["p4_catch_up_dates"] = """
     select cast(unnest(generate_series(max(event_date) + interval 1 day, date '2024-01-15',
       interval 1 day)) as date) as day from v_loaded"""
 ORACLE["p5_error_isolation"] = """
-    select event_date as run_date, event_date <> date '2024-01-13' as ok,
-      cast(case when event_date <> date '2024-01-13' then count(*) end as double) as rows
-    from v_daily where event_date between date '2024-01-11' and date '2024-01-14' group by 1"""
+    select event_date as run_date, day(event_date) not in (13, 15) as ok,
+      cast(case when day(event_date) not in (13, 15) then count(*) end as double) as rows,
+      case day(event_date) when 13 then 'source unavailable' when 15 then 'RuntimeError' end as error
+    from v_daily where event_date between date '2024-01-11' and date '2024-01-16' group by 1"""
 ORACLE["p6_extract_date"] = "select * from v_daily where event_date = date '2024-01-11'"
 ORACLE["p7_log_only"] = """
     select cast(event_date as varchar) as run_date, 'p7.sql' as sql_file, cast(null as double) as row_count
@@ -309,6 +313,10 @@ ORACLE["r12_identity_map"] = "select * from v_identities"
 ORACLE["r13_event_attribution"] = """
     select t.*, s.id_subscrip from v_visits t join v_identities s on t.anonymous_id = s.anonymous_id
       and t.website_id = s.website_id and t.event_date between s.effective_date and s.end_date"""
+for _query, _day in (
+    ("r13_cancel_events_of_a_day", "2024-01-20"), ("r13_cancel_events_before_the_start", "2024-01-10")
+):
+    ORACLE[_query] = ORACLE["r13_event_attribution"] + f" where t.event_date = date '{_day}'"
 
 # --- cardinality guardrail ------------------------------------------------------
 
@@ -546,22 +554,29 @@ ORACLE["m10_churn_rate"] = """
     select cohort, "Treatment", count(*) as rows, cast(sum(churned) as bigint) as churned,
       round(avg(churned), 4) as churn_rate
     from v_outcomes where churned is not null and "__earlist_contact_date" is not null group by 1, 2"""
-ORACLE["m11_cnrc"] = """
-    select c.cohort, c."Treatment", window_days, callers, round(coalesce(revenue, 0), 4) as revenue,
+def _cnrc(by: list[str]) -> str:
+    names = ", ".join(by)
+    same = " and ".join(f"r.{b} is not distinct from c.{b}" for b in by)
+    return f"""
+    select {', '.join(f'c.{b}' for b in by)}, window_days, callers, round(coalesce(revenue, 0), 4) as revenue,
       round(coalesce(revenue, 0) / callers, 4) as cnrc
-    from (select cohort, "Treatment", count(distinct billing_account) as callers from v_evaluable
-          where "__earlist_contact_date" is not null group by 1, 2) c
+    from (select {names}, count(distinct billing_account) as callers from v_evaluable
+          where "__earlist_contact_date" is not null group by all) c
     cross join (values (30), (60), (90)) w(window_days)
     left join (
-      select e.cohort, e."Treatment", days, sum(p.billing_amount) as revenue
-      from (select distinct billing_account, id_subscrip, cohort, "Treatment", offered_rate, new_rate,
+      select {', '.join(f'e.{b}' for b in by)}, days, sum(p.billing_amount) as revenue
+      from (select distinct billing_account, id_subscrip, {names}, offered_rate, new_rate,
               pricing_effective_date, "__earlist_contact_date" as contact
             from v_evaluable where churned = 0) e
       join v_facts p on e.billing_account = p.billing_account and e.id_subscrip = p.id_subscrip
         and p.id_payment_date > contact and p.id_payment_date >= pricing_effective_date
       join (values (30), (60), (90)) d(days) on p.id_payment_date <= contact + days
-      group by 1, 2, 3) r
-    on r.cohort = c.cohort and r."Treatment" = c."Treatment" and r.days = window_days"""
+      group by all) r
+    on {same} and r.days = window_days"""
+
+
+ORACLE["m11_cnrc"] = _cnrc(["cohort", '"Treatment"'])
+ORACLE["m11_cnrc_by_tier"] = _cnrc(["cohort", '"Treatment"', "src_risk_tier"])
 
 # --- contact history and rates --------------------------------------------------
 
@@ -651,14 +666,17 @@ ORACLE["q4_deviation_verdicts"] = """
       not coalesce(abs(row_count - average) / nullif(average, 0) > 0.10, false) as passed
     from v_run_log l join (select sql_file, avg(row_count) as average from v_run_log
       where row_count is not null group by 1) b on l.sql_file = b.sql_file"""
+ORACLE["q1_nan_percentage"] = """
+    select round(count(*) filter (frequency is null or frequency < 20) * 100.0 / (count(*) * 2), 6)
+      as null_percentage from v_labelled"""
 ORACLE["q5_assessment_record"] = """
-    select '2024-01-10' as run_date, 'click.sql' as sql_file, c.n as row_count,
+    select '2024-01-10' as run_date, c.sql_file, c.n as row_count,
       cast(0 as double) as null_percentage,
       coalesce(abs(c.n - b.rows) / b.rows <= 0.10, true) as row_count_passed,
       coalesce(abs(0 - b.nulls) / b.nulls <= 0.10, true) as nulls_passed
-    from (select count(*) as n from v_events where event_type = 'click') c,
-      (select avg(row_count) as rows, avg(null_percentage) as nulls from v_run_log
-       where sql_file = 'click.sql' and row_count is not null) b"""
+    from (select event_type || '.sql' as sql_file, count(*) as n from v_events group by 1) c
+    join (select sql_file, avg(row_count) as rows, avg(null_percentage) as nulls from v_run_log
+       where row_count is not null group by 1) b on b.sql_file = c.sql_file"""
 ORACLE["q6_key_contract"] = """
     select user_id, count(*) as rows from v_events group by 1 having count(*) > 1 or user_id is null"""
 ORACLE["q7_metric_coverage"] = " union all ".join(
@@ -807,10 +825,6 @@ def _label(fields: list[str]) -> str:
 
 ORACLE["d11_segment_label"] = f"""
     select billing_account, {_label(['outcome', *SEGMENTS])} as segment_label from v_analysis"""
-ORACLE["d12_vector_magnitude"] = """
-    select billing_account, round(case when frequency is not null or breadth is not null then
-      sqrt(coalesce(frequency * frequency, 0) + coalesce(breadth * breadth, 0)) end, 6) as magnitude
-    from v_labelled"""
 
 
 def _dominant(named: dict[str, str]) -> str:
@@ -822,12 +836,12 @@ def _dominant(named: dict[str, str]) -> str:
 
 ORACLE["d13_dominant_metric"] = f"""
     select billing_account, {_dominant({'frequency': '(frequency - 46)', 'breadth': '((breadth - 4) * 10)',
-      'tenure': '((tenure - 1200) / 30)'})} as dominant_metric from v_labelled"""
+      'tenure': '((tenure - 1200) / 30)', 'tt_cost': '((tt_cost - 150000) / 4000)'})} as dominant_metric
+    from v_labelled"""
 _SAME = " and ".join(f"a.{f} is not distinct from s.{f}" for f in SEGMENTS)
 ORACLE["d14_segment_match"] = f"""
     select a.billing_account, {', '.join(f'a.{f}' for f in SEGMENTS)} from v_analysis a
-    join (select {', '.join(SEGMENTS)}, count(*) as n from v_analysis group by all
-      order by n desc, {', '.join(f'{f} nulls first' for f in SEGMENTS)} limit 3) s on {_SAME}"""
+    join (select {', '.join(SEGMENTS)} from v_analysis where outcome = 'Saved' group by all) s on {_SAME}"""
 
 
 def _magnitude(exprs: list[str]) -> str:
@@ -835,6 +849,10 @@ def _magnitude(exprs: list[str]) -> str:
     return f"case when {some} then sqrt({' + '.join(f'coalesce({e} * {e}, 0)' for e in exprs)}) end"
 
 
+ORACLE["d12_vector_magnitude"] = f"""
+    select billing_account, round({_magnitude(METRICS)}, 6) as magnitude from v_labelled"""
+
+
 _PROFILE = ["outcome", *SEGMENTS]
 VIEWS["v_profiles"] = f"""
     select *, {_magnitude([f'score__{m}' for m in METRICS])} as profile_magnitude,
@@ -852,6 +870,27 @@ def _round_all(names: list[str], digits: int = 6) -> str:
 
 _PROFILE_NUMBERS = [f"{k}__{m}" for k in ("median", "score") for m in METRICS] + ["profile_magnitude"]
 ORACLE["d15_behavior_profiles"] = f"select * {_round_all(_PROFILE_NUMBERS)} from v_profiles"
+
+# --- from the revenue table on ----------------------------------------------------
+
+VIEWS["v_revenue"] = ORACLE["m9_revenue_table"]
+VIEWS["v_chain"] = (
+    VIEWS["v_labelled"]
+    .replace("exclude (tier)", "exclude (src_risk_tier)")
+    .replace("tier like '% risk' then tier else tier ||", "src_risk_tier like '% risk' then src_risk_tier else src_risk_tier ||")
+    .replace("v_eda", "v_revenue")
+)
+VIEWS["v_chain_contacted"] = "select * from v_chain where status in ('saved', 'stoped')"
+ORACLE["chain_funnel"] = ORACLE["d3_funnel"].replace("v_labelled", "v_chain")
+VIEWS["v_chain_reference"] = _reference("v_chain_contacted")
+VIEWS["v_chain_scored"] = (
+    VIEWS["v_scored"].replace("v_reference", "v_chain_reference").replace("v_analysis", "v_chain_contacted")
+)
+VIEWS["v_chain_profiles"] = VIEWS["v_profiles"].replace("v_scored", "v_chain_scored").replace(">= 20", ">= 2")
+ORACLE["chain_behavior_profiles"] = ORACLE["d15_behavior_profiles"].replace("v_profiles", "v_chain_profiles")
+
+# --- contrasts and drill-down -----------------------------------------------------
+
 VIEWS["v_contrasts"] = f"""
     select cast(row_number() over (order by contrast_magnitude desc nulls last, total_users desc,
         {', '.join(f'{f} nulls first' for f in SEGMENTS)}) - 1 as int) as segment_rank, *,
@@ -912,8 +951,12 @@ def _detail(m: str) -> str:
         t."Treatment", '{m}' as metric, {', '.join(sides)},
         round({_clip(m, f't.median_saved__{m}')} - {_clip(m, f't.median_stopped__{m}')}, 6)
           as clipped_median_difference,
-        0 as bootstrap_iterations, cast(0.95 as double) as confidence_level
+        any_value(i.ci_lower) as clipped_median_difference_ci_lower,
+        any_value(i.ci_upper) as clipped_median_difference_ci_upper,
+        {BOOTSTRAP} as bootstrap_iterations, cast(0.95 as double) as confidence_level
       from v_treatments t left join v_scored a on {_SAME.replace('s.', 't.')} and a."Treatment" = t."Treatment"
+      left join v_detail_intervals i on i.segment_rank = t.segment_rank and i."Treatment" = t."Treatment"
+        and i.metric = '{m}'
       group by t.segment_rank, t.segment_label, {', '.join(f't.{f}' for f in SEGMENTS)}, t."Treatment",
         t.n__saved, t.n__stopped, t.median_saved__{m}, t.median_stopped__{m}"""
 
@@ -941,38 +984,54 @@ def _gamma(shape: str, key: str) -> str:
     return f"case {' '.join(arms)} else {d} end"
 
 
-VIEWS["v_sorted"] = " union all ".join(
-    f"""select s.segment_rank, '{m}' as metric, a.outcome, a.clip__{m} as value,
-        row_number() over (partition by s.segment_rank, a.outcome order by a.{m}) - 1 as pos,
-        count(*) over (partition by s.segment_rank, a.outcome) as total
-      from v_selected s join v_scored a on {_SAME} where a.{m} is not null"""
-    for m in METRICS
+def _intervals(name: str, cell: list[str], rows: str) -> str:
+    """Views of the sorted values and the draws of each cell; the SQL of its intervals.
+
+    `rows` is a FROM clause over the cells as `s` and the scored accounts as `a`.
+    """
+    c, s = ", ".join(cell), ", ".join(f"s.{x}" for x in cell)
+    side = f"{c}, metric, outcome"
+    VIEWS[f"v_sorted_{name}"] = " union all ".join(
+        f"""select {s}, '{m}' as metric, a.outcome, a.clip__{m} as value,
+            row_number() over (partition by {s}, a.outcome order by a.{m}) - 1 as pos,
+            count(*) over (partition by {s}, a.outcome) as total
+          from {rows} where a.{m} is not null"""
+        for m in METRICS
+    )
+    VIEWS[f"v_draws_{name}"] = f"""
+        select *, {_gamma('half', "(key || '|x')")} as x,
+          {_gamma('(total - half + 1)', "(key || '|y')")} as y, {_uniform("(key || '|w')", 1)} as w
+        from (select distinct {side}, cast(total as double) as total,
+            cast((total + 1) // 2 as double) as half, replicate,
+            '42|' || {" || '|' || ".join(cell)} || '|' || outcome || '|' || metric || '|' || replicate as key
+          from (select distinct {side}, total from v_sorted_{name})
+          cross join generate_series(1, {BOOTSTRAP}) g(replicate))"""
+    VIEWS[f"v_ranks_{name}"] = f"""
+        select {side}, replicate,
+          unnest([least(floor(u * total), total - 1),
+            least(floor(case when total % 2 = 1 then u
+              else u + (1 - u) * (1 - pow(w, 1.0 / (total - half))) end * total), total - 1)]) as pos
+        from (select *, x / (x + y) as u from v_draws_{name})"""
+    VIEWS[f"v_medians_{name}"] = f"""
+        select {', '.join(f'r.{x}' for x in cell)}, r.metric, r.replicate,
+          avg(v.value) filter (r.outcome = 'Saved') as saved,
+          avg(v.value) filter (r.outcome = 'Stopped') as stopped
+        from v_ranks_{name} r join v_sorted_{name} v on {' and '.join(f'r.{x} = v.{x}' for x in cell)}
+          and r.metric = v.metric and r.outcome = v.outcome and r.pos = v.pos
+        group by all"""
+    return f"""
+        select {c}, metric, round(quantile_cont(saved - stopped, 0.025), 6) as ci_lower,
+          round(quantile_cont(saved - stopped, 0.975), 6) as ci_upper
+        from v_medians_{name} where saved is not null and stopped is not null group by all"""
+
+
+ORACLE["d19_bootstrap_intervals"] = _intervals(
+    "segment", ["segment_rank"], f"v_selected s join v_scored a on {_SAME}"
+)
+VIEWS["v_detail_intervals"] = _intervals(
+    "detail", ["segment_rank", '"Treatment"'],
+    f'v_treatments s join v_scored a on {_SAME} and a."Treatment" = s."Treatment"',
 )
-VIEWS["v_draws"] = f"""
-    select *, {_gamma('half', "(key || '|x')")} as x, {_gamma('(total - half + 1)', "(key || '|y')")} as y,
-      {_uniform("(key || '|w')", 1)} as w
-    from (select distinct segment_rank, metric, outcome, cast(total as double) as total,
-        cast((total + 1) // 2 as double) as half, replicate,
-        '42|' || segment_rank || '|' || outcome || '|' || metric || '|' || replicate as key
-      from (select distinct segment_rank, metric, outcome, total from v_sorted)
-      cross join generate_series(1, {BOOTSTRAP}) g(replicate))"""
-ORACLE["d19_bootstrap_intervals"] = """
-    , ranks as (
-      select segment_rank, metric, outcome, replicate,
-        unnest([least(floor(u * total), total - 1),
-          least(floor(case when total % 2 = 1 then u
-            else u + (1 - u) * (1 - pow(w, 1.0 / (total - half))) end * total), total - 1)]) as pos
-      from (select *, x / (x + y) as u from v_draws)),
-    medians as (
-      select r.segment_rank, r.metric, r.replicate,
-        avg(v.value) filter (r.outcome = 'Saved') as saved,
-        avg(v.value) filter (r.outcome = 'Stopped') as stopped
-      from ranks r join v_sorted v on r.segment_rank = v.segment_rank and r.metric = v.metric
-        and r.outcome = v.outcome and r.pos = v.pos
-      group by 1, 2, 3)
-    select segment_rank, metric, round(quantile_cont(saved - stopped, 0.025), 6) as ci_lower,
-      round(quantile_cont(saved - stopped, 0.975), 6) as ci_upper
-    from medians where saved is not null and stopped is not null group by 1, 2"""
 
 # --- chart data -----------------------------------------------------------------
 
