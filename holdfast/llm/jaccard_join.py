@@ -4,15 +4,19 @@
 2. Prefix filter: under one order of all shingles, two sets that link share one of their first
    n - ceil(t n) + 1 shingles. Shingles that are frequent in a sample come last in the order; that
    keeps common passages out of the prefixes and changes no result.
-3. Each class is compared with one partner, the lowest class of the bucket it shares most often, and
-   the links found that way are closed to components: copies mostly are tied together here.
-4. Buckets that still hold several components are searched by signature trees. A node holds the OR
-   of its sets' token bitmaps, the range of their sizes and the most tokens that shared a bit; two
-   trees are walked together, and a pair of nodes is dropped when its largest possible overlap is
-   too small for its sizes, or when both lie in one component.
-5. Pairs that remain are compared on their texts. Links of 3 and 5 give the components.
-
-Buckets of more than BLOCK members are dealt out as pairs of blocks, so no task holds a bucket.
+3. Buckets of classes that share a shingle are searched by signature trees. A node holds the OR of
+   its sets' token bitmaps, the range of their sizes and the most tokens that shared a bit; two trees
+   are walked together, and a pair of nodes is dropped when its largest possible overlap is too small
+   for its sizes, or when both lie in one component.
+4. A first search keeps each member's likeliest partner. Those pairs are compared on their texts and
+   closed to components, which ties most copies together.
+5. A second search over the buckets that still hold several components keeps every pair that may
+   link across them. Those are compared too; both kinds of links give the components.
+
+Buckets of more than BLOCK members are dealt out as pairs of blocks (cells), so no task holds a
+bucket; a text travels once to each cell where it is compared, not once a pair. Before texts are
+fetched, pairs are screened on bitmaps whose length follows the set's size, about four bits a token;
+the trees hold the same bitmaps folded to _BITS.
 Shingles are compared by 64-bit hashes.
 """
 
@@ -30,7 +34,7 @@ from holdfast.llm.text import SPACED, mix, texts_shingles
 from holdfast.sources.tables import stage
 
 #: Members of a bucket that one task takes, in one block.
-BLOCK = 1024
+BLOCK = 512
 #: Frequent shingles that come last in the order: a broadcast of at most 12 bytes each.
 FREQUENT = 1 << 16
 #: Bits of a signature, children of a tree node, node pairs expanded at once.
@@ -110,44 +114,115 @@ def _linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def _verify(width: int, num: int, den: int):
+    """Over rows by cell, texts before pairs: the pairs that link, but for those that links of the
+    same cell already tie together."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, sets, root = None, {}, {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
         for batch in batches:
-            for part, left in texts_shingles(batch, "text_a", width):
-                right = [s for _, sets in texts_shingles(part, "text_b", width) for s in sets]
-                keep = [_linked(x, y, num, den) for x, y in zip(left, right, strict=True)]
-                kept = part.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
+            for part, own in texts_shingles(batch, "text", width):
+                links = []
+                rows = zip(*(part.column(c).to_pylist() for c in ("cell", "a", "b")), own, strict=True)
+                for now, a, b, shingles in rows:
+                    if now != cell:
+                        cell, sets, root = now, {}, {}
+                    if b is None:
+                        sets[a] = shingles
+                    elif find(a) != find(b) and _linked(sets[a], sets[b], num, den):
+                        root[find(a)] = find(b)
+                        links.append((a, b))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"]
+                )
 
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    one = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify(width, num, den), "a long, b long")
+def _by_cell(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Rows (cell, a, b, column) sorted by cell: what `table` (cid, column) holds for the sets of the
+    cell's pairs, then the pairs."""
+    none = F.lit(None)
+    nodes = pairs.select("cell", F.col("a").alias("cid")).unionByName(pairs.select("cell", F.col("b").alias("cid"))).distinct()
+    held = nodes.join(table.select("cid", column), "cid").select("cell", F.col("cid").alias("a"), none.cast("long").alias("b"), column)
+    kind = dict(table.dtypes)[column]
+    rows = held.unionByName(pairs.select("cell", "a", "b", none.cast(kind).alias(column)))
+    return rows.repartition("cell").sortWithinPartitions("cell", F.col("b").isNotNull())
+
 
+def _links(
+    pairs: DataFrame, texts: DataFrame, signs: DataFrame, width: int, num: int, den: int
+) -> DataFrame:
+    """The pairs (a, b, cell) whose texts link, enough of them to tie all that link."""
+    asked = stage(pairs.groupBy("a", "b").agg(F.min("cell").alias("cell")), "asked")
+    near = stage(_by_cell(asked, signs, "wide").mapInArrow(_screen(num, den), "a long, b long, cell long"), "near")
+    return _by_cell(near, texts, "text").mapInArrow(_verify(width, num, den), "a long, b long")
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Token bitmaps (len x _BITS/64 words) and how many tokens of each set fell on a taken bit."""
-    out = np.zeros((len(sets), _BITS // 8), np.uint8)
-    surplus = np.zeros(len(sets), np.int64)
-    for i, s in enumerate(sets):
-        bits = np.zeros(_BITS, np.uint8)
-        bits[(mix(s) & _U(_BITS - 1)).astype(np.int64)] = 1
-        out[i] = np.packbits(bits)
-        surplus[i] = len(s) - bits.sum()
-    return out.view(_U), surplus
+
+def _fold(bits: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
+def _screen(num: int, den: int):
+    """The pairs whose bitmaps, at the length of the shorter one, leave enough overlap possible."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
+        for batch in batches:
+            kept = []
+            for now, a, b, wide in zip(*(batch.column(c).to_pylist() for c in ("cell", "a", "b", "wide")), strict=True):
+                if now != cell:
+                    cell, held = now, {}
+                if b is None:
+                    held[a] = (int.from_bytes(wide[:8], "little"), np.frombuffer(wide, _U, offset=8))
+                    continue
+                (n, x), (m, y) = held[a], held[b]
+                words = min(len(x), len(y))
+                x, y = _fold(x, words), _fold(y, words)
+                spare = min(n - int(np.bitwise_count(x).sum()), m - int(np.bitwise_count(y).sum()))
+                most = min(n, m, int(np.bitwise_count(x & y).sum()) + spare)
+                if (num + den) * most >= num * (n + m):
+                    kept.append((a, b, now))
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in range(3)], ["a", "b", "cell"])
+
+    return run
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """Token bitmap of at least _BITS and about four bits a token, a power of two."""
+    size = max(_BITS, 1 << (4 * len(tokens)).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(mix(tokens) & _U(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(_U)
+
+
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Bitmaps folded to _BITS, how many tokens of each set fell on a taken bit there, and the
+    bitmaps at full length."""
+    wide = [bitmap(s) for s in sets]
+    folded = np.array([_fold(w, _BITS // 64) for w in wide], _U).reshape(-1, _BITS // 64)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    return folded, sizes - np.bitwise_count(folded).sum(1, dtype=np.int64), wide
 
 
 def _sign(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, sets in texts_shingles(batch, "text", width):
-                bits, surplus = signatures(sets)
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                raw = pa.array([b.tobytes() for b in bits], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("cid"), sizes, pa.array(surplus), raw], ["cid", "n", "surplus", "bits"])
+                bits, surplus, wide = signatures(sets)
+                columns = [
+                    part.column("cid"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(surplus),
+                    pa.array([b.tobytes() for b in bits], pa.binary()),
+                    pa.array([len(s).to_bytes(8, "little") + w.tobytes() for s, w in zip(sets, wide, strict=True)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "surplus", "bits", "wide"])
 
     return run
 
@@ -222,7 +297,9 @@ def dual_search(one: SignatureTree, two: SignatureTree | None, num: int, den: in
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _search(num: int, den: int):
+def _search(num: int, den: int, best_only: bool):
+    """Candidate pairs of each cell; best_only: of each member only the likeliest."""
+
     def pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         bits = np.frombuffer(b"".join(group["bits"]), _U).reshape(-1, _BITS // 64)
         sides = [np.flatnonzero(group["side"] == s) for s in (0, 1)]
@@ -230,14 +307,18 @@ def _search(num: int, den: int):
             SignatureTree(group["n"][s], group["surplus"][s], bits[s], group["label"][s], num / den) if len(s) else None
             for s in sides
         ]
-        if group["x"][0] == group["y"][0]:
-            a, b = dual_search(trees[0], None, num, den)
-            a, b = sides[0][a], sides[0][b]
-        elif trees[0] is None or trees[1] is None:
+        if trees[0] is None or (trees[1] is None and group["x"][0] != group["y"][0]):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        else:
-            a, b = dual_search(trees[0], trees[1], num, den)
-            a, b = sides[0][a], sides[1][b]
+        a, b = dual_search(trees[0], trees[1], num, den)
+        a, b = sides[0][a], sides[1 if trees[1] is not None else 0][b]
+        if best_only and len(a):
+            shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
+            likely = shared / np.maximum(np.bitwise_count(bits[a] | bits[b]).sum(1, dtype=np.int64), 1)
+            keep = np.zeros(len(a), bool)
+            for side in (a, b):
+                order = np.lexsort((-likely, side))
+                keep[order[np.append(True, np.diff(side[order]) != 0)]] = True
+            a, b = a[keep], b[keep]
         own = group["cid"]
         return np.minimum(own[a], own[b]), np.maximum(own[a], own[b])
 
@@ -245,7 +326,7 @@ def _search(num: int, den: int):
         rest: pa.Table | None = None
 
         def solve(table: pa.Table, upto: int) -> pa.RecordBatch:
-            columns = {c: table.column(c).to_numpy() for c in ("h", "x", "y", "cid", "n", "surplus", "label", "side")}
+            columns = {c: table.column(c).to_numpy() for c in ("h", "x", "y", "cell", "cid", "n", "surplus", "label", "side")}
             columns["bits"] = np.array(table.column("bits").to_pylist() + [None], object)[:-1]
             edge = np.flatnonzero(
                 np.append(True, (np.diff(columns["h"]) != 0) | (np.diff(columns["x"]) != 0) | (np.diff(columns["y"]) != 0))
@@ -253,7 +334,8 @@ def _search(num: int, den: int):
             edge = np.append(edge[edge < upto], upto)
             got = [pairs({c: v[i:j] for c, v in columns.items()}) for i, j in zip(edge[:-1], edge[1:], strict=True)]
             a, b = (np.concatenate([np.zeros(0, np.int64), *(g[k] for g in got)]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            cell = np.repeat(columns["cell"][edge[:-1]], [len(g[0]) for g in got])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cell)], ["a", "b", "cell"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -274,24 +356,29 @@ def _search(num: int, den: int):
     return run
 
 
-def _tree_pairs(members: DataFrame, buckets: DataFrame, signs: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs of buckets (h, blocks) with members (h, cid, label)."""
-    rows = members.join(buckets, "h").join(signs, "cid")
+def _tree_pairs(members: DataFrame, signs: DataFrame, num: int, den: int, best_only: bool) -> DataFrame:
+    """Candidate pairs (a, b, cell) of the buckets of members (h, cid, label)."""
+    mixed = members.groupBy("h").agg(
+        F.count("*").alias("count"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.bit_xor(F.xxhash64("cid")).alias("d1"),
+        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("d2"),
+    )
+    # Buckets with the same members need one search.
+    buckets = mixed.where("low < high").groupBy("count", "d1", "d2").agg(F.min("h").alias("h"))
+    buckets = buckets.select("h", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(buckets, "h").join(signs.drop("wide"), "cid")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x, y = F.least("block", "other"), F.greatest("block", "other")
     rows = rows.select(
-        "h",
-        F.least("block", "other").alias("x"),
-        F.greatest("block", "other").alias("y"),
+        "h", x.alias("x"), y.alias("y"), F.xxhash64("h", x, y).alias("cell"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-        "cid",
-        "label",
-        "n",
-        "surplus",
-        "bits",
-    )
+        "cid", "label", "n", "surplus", "bits",
+    )
     dealt = rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y")
-    return dealt.mapInArrow(_search(num, den), "a long, b long").distinct()
+    return dealt.mapInArrow(_search(num, den, best_only), "a long, b long, cell long")
 
 
 def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -322,36 +409,21 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     tokens = classes.select("cid", F.explode("prefix").alias("h"))
-    shared = tokens.groupBy("h").agg(F.min("cid").alias("lead"), F.max("cid").alias("top")).where("lead < top")
-    postings = stage(tokens.join(shared.select("h", "lead"), "h"), "postings")
+    shared = tokens.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("top")).where("low < top")
+    postings = stage(tokens.join(shared.select("h"), "h"), "postings")
 
     wanted = postings.select("cid").distinct().join(classes.select("cid", "rep.r1", "rep.r2"), "cid")
     texts = stage(own.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).select("cid", "text"), "texts")
     if texts.count() > texts.select("cid").distinct().count():  # rows that repeat wholly
         texts = stage(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
-
-    stars = postings.where("cid > lead").groupBy("cid", "lead").count()
-    partner = stars.groupBy("cid").agg(F.max(F.struct("count", (-F.col("lead")).alias("minus"))).alias("best"))
-    pairs = partner.select((-F.col("best.minus")).alias("a"), F.col("cid").alias("b"))
-    links = stage(_links(pairs, texts, width, num, den), "links")
-    tied = stage(components(links), "tied")
-
-    label = F.coalesce("root", "cid")
-    members = postings.join(tied.withColumnRenamed("id", "cid"), "cid", "left").select("h", "cid", label.alias("label"))
-    members = stage(members, "members")
-    mixed = members.groupBy("h").agg(
-        F.count("*").alias("count"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.bit_xor(F.xxhash64("cid")).alias("d1"),
-        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("d2"),
-    )
-    # Buckets with the same members need one search.
-    buckets = mixed.where("low < high").groupBy("count", "d1", "d2").agg(F.min("h").alias("h"))
-    buckets = buckets.select("h", F.ceil(F.col("count") / BLOCK).cast("long").alias("blocks"))
-    signs = texts.mapInArrow(_sign(width), "cid long, n long, surplus long, bits binary")
-    more = stage(_tree_pairs(members, buckets, signs, num, den), "pairs")
-    late = stage(_links(more, texts, width, num, den), "links")
+    signs = stage(texts.mapInArrow(_sign(width), "cid long, n long, surplus long, bits binary, wide binary"), "signs")
+
+    members = postings.select("h", "cid", F.col("cid").alias("label"))
+    links = stage(_links(_tree_pairs(members, signs, num, den, True), texts, signs, width, num, den), "links")
+    tied = stage(components(links).withColumnRenamed("id", "cid"), "tied")
+    members = postings.join(tied, "cid", "left").select("h", "cid", F.coalesce("root", "cid").alias("label"))
+    rest = _tree_pairs(stage(members, "members"), signs, num, den, False)
+    late = stage(_links(rest, texts, signs, width, num, den), "links")
 
     whole = components(links.unionByName(late)).withColumnRenamed("id", "cid")
     rooted = classes.select("cid", "k1", "k2", "rep").join(whole, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
