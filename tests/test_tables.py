@@ -165,3 +165,40 @@ def test_run_without_snapshot_only_logs(spark, tmp_path):
     assert [r["ok"] for r in status] == [True, False]
     rows = tables.load_history(spark, t.log).collect()
     assert [(r["run_date"], r["row_count"]) for r in rows] == [("2026-04-05", None)]
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0, "x"), (float("nan"), None), (None, "y")], "m double, s string")
+    row = quality.table_measures(df).first()
+    assert (row["row_count"], row["null_percentage"]) == (3, 50.0)
+
+
+def test_latest_partition_is_read_from_folder_names(spark, tmp_path):
+    """Neither a damaged data file nor an emptied partition matters."""
+    table = f"{tmp_path}/daily"
+    days = [(dt.date(2024, 1, d), d) for d in (3, 9, 12)]
+    spark.createDataFrame(days, "day date, n int").write.partitionBy("day").parquet(table)
+    none = spark.createDataFrame([], "day date, n int")
+    tables.replace_partition(none, table, "day", dt.date(2024, 1, 12))
+    for file in (tmp_path / "daily").glob("*/*.parquet"):
+        file.write_bytes(b"damaged")
+    assert tables.latest_partition(spark, table, "day") == dt.date(2024, 1, 9)
+    assert tables.latest_partition(spark, table, "other") is None
+    assert tables.latest_partition(spark, f"{table}-absent", "day") is None
+
+
+def test_staging_scope_deletes_its_folder(spark):
+    import os
+
+    with tables.staging(spark) as folder:
+        staged = tables.stage(spark.range(5).toDF("n"))
+        assert staged.count() == 5 and os.path.isdir(folder)
+        assert tables.scratch_path(spark, "x").startswith(folder)
+    assert not os.path.exists(folder)
+    assert tables.stage(spark.range(2).toDF("n")).count() == 2
+
+
+def test_errors_without_text_are_reported_by_kind():
+    assert incremental._summary(RuntimeError()) == "RuntimeError"
+    assert incremental._summary(ValueError("first\nsecond")) == "first"
+    assert incremental._summary(KeyError("")) == "''"
