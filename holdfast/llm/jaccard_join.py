@@ -10,13 +10,14 @@
    for its sizes, or when both lie in one component.
 4. A first search keeps each member's likeliest partner. Those pairs are compared on their texts and
    closed to components, which ties most copies together.
-5. A second search over the buckets that still hold several components keeps every pair that may
-   link across them. Those are compared too; both kinds of links give the components.
+5. A second search goes over the buckets in which the first one held pairs back and which still hold
+   several components, and keeps every pair that may link across them. Those are compared too; both
+   kinds of links give the components.
 
 Buckets of more than BLOCK members are dealt out as pairs of blocks (cells), so no task holds a
 bucket; a text travels once to each cell where it is compared, not once a pair. Before texts are
 fetched, pairs are screened on bitmaps whose length follows the set's size, about four bits a token;
-the trees hold the same bitmaps folded to _BITS.
+the trees hold the same bitmaps folded to _BITS, or to _LARGE_BITS among large sets.
 Shingles are compared by 64-bit hashes.
 """
 
@@ -37,8 +38,10 @@ from holdfast.sources.tables import stage
 BLOCK = 512
 #: Frequent shingles that come last in the order: a broadcast of at most 12 bytes each.
 FREQUENT = 1 << 16
-#: Bits of a signature, children of a tree node, node pairs expanded at once.
-_BITS, _FANOUT, _PAIRS = 2048, 8, 1024
+#: Bits of a signature, and of one of a set with more than _LARGE shingles.
+_BITS, _LARGE_BITS, _LARGE = 2048, 8192, 1500
+#: Children of a tree node, node pairs expanded at once.
+_FANOUT, _PAIRS = 8, 512
 _U = np.uint64
 
 
@@ -201,28 +204,23 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(_U)
 
 
-def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Bitmaps folded to _BITS, how many tokens of each set fell on a taken bit there, and the
-    bitmaps at full length."""
-    wide = [bitmap(s) for s in sets]
-    folded = np.array([_fold(w, _BITS // 64) for w in wide], _U).reshape(-1, _BITS // 64)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    return folded, sizes - np.bitwise_count(folded).sum(1, dtype=np.int64), wide
+def signature(wide: np.ndarray, n: int) -> np.ndarray:
+    """The bitmap as the trees hold it: a large set has a longer one."""
+    return _fold(wide, (_LARGE_BITS if n > _LARGE else _BITS) // 64)
 
 
 def _sign(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, sets in texts_shingles(batch, "text", width):
-                bits, surplus, wide = signatures(sets)
+                wide = [bitmap(s) for s in sets]
                 columns = [
                     part.column("cid"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(surplus),
-                    pa.array([b.tobytes() for b in bits], pa.binary()),
+                    pa.array([signature(w, len(s)).tobytes() for s, w in zip(sets, wide, strict=True)], pa.binary()),
                     pa.array([len(s).to_bytes(8, "little") + w.tobytes() for s, w in zip(sets, wide, strict=True)], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "surplus", "bits", "wide"])
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "bits", "wide"])
 
     return run
 
@@ -230,7 +228,8 @@ def _sign(width: int):
 class SignatureTree:
     """Levels of nodes over sets ordered by size; level 0 holds the sets themselves."""
 
-    def __init__(self, size: np.ndarray, surplus: np.ndarray, bits: np.ndarray, label: np.ndarray, ratio: float):
+    def __init__(self, size: np.ndarray, bits: np.ndarray, label: np.ndarray, ratio: float):
+        surplus = size - np.bitwise_count(bits).sum(1, dtype=np.int64)  # tokens that fell on a taken bit
         classes = np.floor(np.log(np.maximum(size, 1)) / -np.log(ratio))
         self.order = np.lexsort((size, bits[:, 0], classes))
         bits, size, surplus, label = bits[self.order], size[self.order], surplus[self.order], label[self.order]
@@ -297,36 +296,70 @@ def dual_search(one: SignatureTree, two: SignatureTree | None, num: int, den: in
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+def candidates(
+    n: np.ndarray, bits: list[np.ndarray], label: np.ndarray, side: np.ndarray | None, num: int, den: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs that may link, within a group or (side 0 and 1) across two.
+
+    Sets with short and with long bitmaps have trees of their own; between them the short length holds.
+    """
+    words = np.array([len(b) for b in bits])
+
+    def tree(which: np.ndarray, length: int) -> SignatureTree | None:
+        if not len(which):
+            return None
+        own = np.array([_fold(bits[i], length) for i in which], _U)
+        return SignatureTree(n[which], own, label[which], num / den)
+
+    found = []
+
+    def search(one: np.ndarray, two: np.ndarray | None, length: int) -> None:
+        x, y = tree(one, length), None if two is None else tree(two, length)
+        if x is not None and (two is None or y is not None):
+            a, b = dual_search(x, y, num, den)
+            found.append((one[a], (one if two is None else two)[b]))
+
+    kinds = np.unique(words)
+    if side is None:
+        for k, length in enumerate(kinds):
+            search(np.flatnonzero(words == length), None, int(length))
+            for longer in kinds[k + 1 :]:
+                search(np.flatnonzero(words == length), np.flatnonzero(words == longer), int(length))
+    else:
+        for one in kinds:
+            for two in kinds:
+                search(np.flatnonzero((words == one) & (side == 0)), np.flatnonzero((words == two) & (side == 1)), int(min(one, two)))
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+    return a, b
+
+
 def _search(num: int, den: int, best_only: bool):
-    """Candidate pairs of each cell; best_only: of each member only the likeliest."""
-
-    def pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        bits = np.frombuffer(b"".join(group["bits"]), _U).reshape(-1, _BITS // 64)
-        sides = [np.flatnonzero(group["side"] == s) for s in (0, 1)]
-        trees = [
-            SignatureTree(group["n"][s], group["surplus"][s], bits[s], group["label"][s], num / den) if len(s) else None
-            for s in sides
-        ]
-        if trees[0] is None or (trees[1] is None and group["x"][0] != group["y"][0]):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = dual_search(trees[0], trees[1], num, den)
-        a, b = sides[0][a], sides[1 if trees[1] is not None else 0][b]
+    """Candidate pairs of each cell; best_only: of each member only the likeliest, and a row with the
+    bucket alone where that held pairs back."""
+
+    def pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, bool]:
+        bits = [np.frombuffer(b, _U) for b in group["bits"]]
+        own = group["cid"]
+        side = None if group["x"][0] == group["y"][0] else group["side"]
+        a, b = candidates(group["n"], bits, group["label"], side, num, den)
+        held = False
         if best_only and len(a):
-            shared = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
-            likely = shared / np.maximum(np.bitwise_count(bits[a] | bits[b]).sum(1, dtype=np.int64), 1)
+            short = np.array([_fold(x, _BITS // 64) for x in bits], _U)
+            shared = np.bitwise_count(short[a] & short[b]).sum(1, dtype=np.int64)
+            likely = shared / np.maximum(np.bitwise_count(short[a] | short[b]).sum(1, dtype=np.int64), 1)
             keep = np.zeros(len(a), bool)
-            for side in (a, b):
-                order = np.lexsort((-likely, side))
-                keep[order[np.append(True, np.diff(side[order]) != 0)]] = True
+            for end in (a, b):
+                order = np.lexsort((-likely, end))
+                keep[order[np.append(True, np.diff(end[order]) != 0)]] = True
+            held = not keep.all()
             a, b = a[keep], b[keep]
-        own = group["cid"]
-        return np.minimum(own[a], own[b]), np.maximum(own[a], own[b])
+        return np.minimum(own[a], own[b]), np.maximum(own[a], own[b]), held
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def solve(table: pa.Table, upto: int) -> pa.RecordBatch:
-            columns = {c: table.column(c).to_numpy() for c in ("h", "x", "y", "cell", "cid", "n", "surplus", "label", "side")}
+            columns = {c: table.column(c).to_numpy() for c in ("h", "x", "y", "cell", "cid", "n", "label", "side")}
             columns["bits"] = np.array(table.column("bits").to_pylist() + [None], object)[:-1]
             edge = np.flatnonzero(
                 np.append(True, (np.diff(columns["h"]) != 0) | (np.diff(columns["x"]) != 0) | (np.diff(columns["y"]) != 0))
@@ -335,7 +368,14 @@ def _search(num: int, den: int, best_only: bool):
             got = [pairs({c: v[i:j] for c, v in columns.items()}) for i, j in zip(edge[:-1], edge[1:], strict=True)]
             a, b = (np.concatenate([np.zeros(0, np.int64), *(g[k] for g in got)]) for k in (0, 1))
             cell = np.repeat(columns["cell"][edge[:-1]], [len(g[0]) for g in got])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cell)], ["a", "b", "cell"])
+            held = columns["h"][edge[:-1]][[g[2] for g in got]]
+            full, none = np.zeros(len(a), bool), np.ones(len(held), bool)
+            blank = np.zeros(len(held), np.int64)
+            kept, bare = np.concatenate([full, none]), np.concatenate([~full, ~none])
+            arrays = [
+                pa.array(np.concatenate([v, blank]), mask=kept) for v in (a, b, cell)
+            ] + [pa.array(np.concatenate([np.zeros(len(a), np.int64), held]), mask=bare)]
+            return pa.RecordBatch.from_arrays(arrays, ["a", "b", "cell", "h"])
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
@@ -356,29 +396,19 @@ def _search(num: int, den: int, best_only: bool):
     return run
 
 
-def _tree_pairs(members: DataFrame, signs: DataFrame, num: int, den: int, best_only: bool) -> DataFrame:
-    """Candidate pairs (a, b, cell) of the buckets of members (h, cid, label)."""
-    mixed = members.groupBy("h").agg(
-        F.count("*").alias("count"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.bit_xor(F.xxhash64("cid")).alias("d1"),
-        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("d2"),
-    )
-    # Buckets with the same members need one search.
-    buckets = mixed.where("low < high").groupBy("count", "d1", "d2").agg(F.min("h").alias("h"))
-    buckets = buckets.select("h", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(buckets, "h").join(signs.drop("wide"), "cid")
+def _tree_search(members: DataFrame, signs: DataFrame, num: int, den: int, best_only: bool) -> DataFrame:
+    """Candidate pairs (a, b, cell), and with best_only rows (h), of members (h, cid, blocks, label)."""
+    rows = members.join(signs.drop("wide"), "cid")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     x, y = F.least("block", "other"), F.greatest("block", "other")
     rows = rows.select(
         "h", x.alias("x"), y.alias("y"), F.xxhash64("h", x, y).alias("cell"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-        "cid", "label", "n", "surplus", "bits",
+        "cid", "label", "n", "bits",
     )
     dealt = rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y")
-    return dealt.mapInArrow(_search(num, den, best_only), "a long, b long, cell long")
+    return dealt.mapInArrow(_search(num, den, best_only), "a long, b long, cell long, h long")
 
 
 def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -416,14 +446,27 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     texts = stage(own.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).select("cid", "text"), "texts")
     if texts.count() > texts.select("cid").distinct().count():  # rows that repeat wholly
         texts = stage(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
-    signs = stage(texts.mapInArrow(_sign(width), "cid long, n long, surplus long, bits binary, wide binary"), "signs")
+    signs = stage(texts.mapInArrow(_sign(width), "cid long, n long, bits binary, wide binary"), "signs")
+
+    # Buckets with the same members need one search.
+    counted = postings.groupBy("h").agg(
+        F.count("*").alias("count"),
+        F.bit_xor(F.xxhash64("cid")).alias("d1"),
+        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("d2"),
+    )
+    buckets = counted.groupBy("count", "d1", "d2").agg(F.min("h").alias("h"))
+    buckets = buckets.select("h", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    chosen = stage(postings.join(buckets, "h"), "chosen")
 
-    members = postings.select("h", "cid", F.col("cid").alias("label"))
-    links = stage(_links(_tree_pairs(members, signs, num, den, True), texts, signs, width, num, den), "links")
+    found = stage(_tree_search(chosen.withColumn("label", F.col("cid")), signs, num, den, True), "found")
+    links = stage(_links(found.where("a IS NOT NULL").drop("h"), texts, signs, width, num, den), "links")
     tied = stage(components(links).withColumnRenamed("id", "cid"), "tied")
-    members = postings.join(tied, "cid", "left").select("h", "cid", F.coalesce("root", "cid").alias("label"))
-    rest = _tree_pairs(stage(members, "members"), signs, num, den, False)
-    late = stage(_links(rest, texts, signs, width, num, den), "links")
+
+    rest = chosen.join(found.where("a IS NULL").select("h").distinct(), "h", "left_semi").join(tied, "cid", "left")
+    rest = stage(rest.withColumn("label", F.coalesce("root", "cid")).drop("root"), "rest")
+    mixed = rest.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    more = _tree_search(rest.join(mixed.select("h"), "h"), signs, num, den, False).drop("h")
+    late = stage(_links(more, texts, signs, width, num, den), "links")
 
     whole = components(links.unionByName(late)).withColumnRenamed("id", "cid")
     rooted = classes.select("cid", "k1", "k2", "rep").join(whole, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -101,15 +101,14 @@ def test_dual_search_drops_no_pair_that_links():
     pool = rng.integers(1, 1 << 62, 4000).astype(np.uint64)
     sets = []
     for _ in range(60):
-        base = rng.choice(pool, rng.integers(1, 400), replace=False)
+        base = rng.choice(pool, rng.choice([rng.integers(1, 400), rng.integers(1450, 1600)]), replace=False)
         for _ in range(3):
             keep = base[rng.random(len(base)) > 0.05]
             sets.append(np.unique(np.concatenate([keep, rng.choice(pool, 3)])))
-    bits, surplus, _ = jaccard_join.signatures(sets)
-    size = np.array([len(s) for s in sets])
+    bits = [jaccard_join.signature(jaccard_join.bitmap(x), len(x)) for x in sets]
+    size = np.array([len(x) for x in sets])
     labels = np.arange(len(sets))
-    tree = jaccard_join.SignatureTree(size, surplus, bits, labels, 0.8)
-    a, b = jaccard_join.dual_search(tree, None, 80, 100)
+    a, b = jaccard_join.candidates(size, bits, labels, None, 80, 100)
     found = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
     true = {
         frozenset((i, j))
@@ -118,15 +117,14 @@ def test_dual_search_drops_no_pair_that_links():
         if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
     }
     assert true and true <= found and len(found) < len(sets) ** 2 / 4
-    half = len(sets) // 2
-    parts = [
-        jaccard_join.SignatureTree(size[s], surplus[s], bits[s], labels[s], 0.8) for s in (slice(0, half), slice(half, None))
-    ]
-    a, b = jaccard_join.dual_search(*parts, 80, 100)
-    across = {frozenset((i, j + half)) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
-    assert {p for p in true if min(p) < half <= max(p)} <= across
-    tied = jaccard_join.SignatureTree(size, surplus, bits, np.zeros(len(sets), np.int64), 0.8)
-    assert len(jaccard_join.dual_search(tied, None, 80, 100)[0]) == 0
+    assert {len(x) for x in bits} == {32, 128}  # short and long bitmaps met
+    side = np.arange(len(sets)) % 2
+    a, b = jaccard_join.candidates(size, bits, labels, side, 80, 100)
+    assert not side[a].any() and side[b].all()
+    across = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    assert {p for p in true if len({int(side[i]) for i in p}) == 2} <= across
+    tied = np.zeros(len(sets), np.int64)
+    assert len(jaccard_join.candidates(size, bits, tied, None, 80, 100)[0]) == 0
 
 
 def test_line_dedup_keeps_the_first_of_each_component(spark):
