@@ -80,7 +80,7 @@ def text_features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     breaks = np.flatnonzero(data == 0x0A)
     heads = np.union1d(bounds[:-1], breaks + 1)
     heads = heads[heads < len(data)]
-    tails = np.append(heads[1:], len(data))
+    tails = np.append(heads[1:], len(data))[: len(heads)]
     tails = tails - ((tails > heads) & (data[tails - 1] == 0x0A))
     filled = tails > heads
     heads, tails = heads[filled], tails[filled]
