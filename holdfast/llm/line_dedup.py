@@ -20,7 +20,7 @@ from holdfast.sources.tables import stage
 
 #: Bands and bins of a band, as powers of two: 8 and 4.
 _BAND_BITS, _ROW_BITS = 3, 2
-ANCHORS = 8
+ANCHORS = 40
 
 
 def _runs(line: Column, width: int, first: str = ".") -> Column:
