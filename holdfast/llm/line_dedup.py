@@ -1,13 +1,11 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
-Lines are compared by the set of their character shingles. Their signatures are made from the longer
-shingles that start at a blank or at a character outside ASCII, which is every word of one kind of
-script and every place of another; a line with fewer than ANCHORS of these uses all its shingles. One
-permutation hashing gives the MinHash signature: the hashed shingles fall into BANDS * ROWS bins and each bin's smallest is one
-component. Lines meet in a band where all its bins agree (at a Jaccard similarity of 0.8, in one of
-eight bands of four bins for 98.5 % of pairs). In each band every line is compared with the band's first
-and last line, on the whole shingle sets; links are closed to components by distributed union-find, and
-of all lines of a component the first occurrence in the corpus stays.
+Lines are compared by the set of their character shingles, and their signatures are made from the same
+set. One permutation hashing gives the MinHash signature: the hashed shingles fall into BANDS * ROWS bins
+and each bin's smallest is one component. Lines meet in a band where all its bins agree (at a Jaccard
+similarity of 0.8, in one of eight bands of four bins for 98.5 % of pairs). In each band every line is
+compared with the band's first and last line, on the whole shingle sets; links are closed to components
+by distributed union-find, and of all lines of a component the first occurrence in the corpus stays.
 """
 
 from __future__ import annotations
@@ -20,17 +18,11 @@ from holdfast.sources.tables import stage
 
 #: Bands and bins of a band, as powers of two: 8 and 4.
 _BAND_BITS, _ROW_BITS = 3, 2
-ANCHORS = 40
-
-
-def _runs(line: Column, width: int, first: str = ".") -> Column:
-    """All runs of `width` characters that start with one of `first`."""
-    return F.regexp_extract_all(line, F.lit(f"(?s)(?=({first}.{{{width - 1}}}))"), F.lit(1))
 
 
 def shingles(line: Column, width: int) -> Column:
     """Hashes of all runs of `width` characters; a shorter line is one shingle."""
-    runs = _runs(line, width)
+    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
     whole = F.when(F.size(runs) > 0, runs).otherwise(F.array(line))
     return F.transform(whole, lambda s: F.xxhash64(s))
 
@@ -62,6 +54,13 @@ def _once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(row)))
 
 
+def band_keys(lines: DataFrame, width: int) -> DataFrame:
+    """(lid, band) of every line (lid, line) and each of its bands."""
+    hashed = _once(lines, "lid", hashes=F.sort_array(shingles(F.col("line"), width)))
+    signed = _once(hashed, "lid", signature=least_of_bins(F.col("hashes")))
+    return signed.select("lid", F.explode(bands(F.col("signature"))).alias("band"))
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
     """(doc_id, row, n, line) of every line that isn't blank. row tells rows of one doc_id apart."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -87,12 +86,7 @@ def line_decisions(docs: DataFrame, width: int = 7, num: int = 80, den: int = 10
     distinct = lines.groupBy("h1", "h2").agg(F.min(where).alias("at"), F.first("line").alias("line"))
     distinct = stage(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
-    anchored = _once(distinct, "lid", "line", anchored=_runs(F.col("line"), width + 3, r"[ \x{80}-\x{10FFFF}]"))
-    chosen = F.when(F.size("anchored") >= ANCHORS, F.transform("anchored", lambda s: F.xxhash64(s)))
-    hashed = _once(anchored, "lid", hashes=F.sort_array(chosen.otherwise(shingles(F.col("line"), width))))
-    signed = _once(hashed, "lid", signature=least_of_bins(F.col("hashes")))
-    banded = signed.select("lid", F.explode(bands(F.col("signature"))).alias("band"))
-    banded = stage(banded, "bands")
+    banded = stage(band_keys(distinct, width), "bands")
     ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high")).where("low < high")
     met = banded.join(ends, "band").select("lid", F.explode(F.array("low", "high")).alias("other"))
     pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()

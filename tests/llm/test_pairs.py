@@ -172,3 +172,27 @@ def test_line_dedup_links_what_brute_force_links(spark):
     roots = closure(range(len(lines)), links)
     true = {i for i in roots if roots[i] != i}
     assert dropped <= true and len(dropped) >= 0.95 * len(true)
+
+
+def dropped_and_true(spark, lines, width=7):
+    """Lines that line dedup drops, and those that all true links tie to an earlier one."""
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    dropped = {r["doc_id"] for r in line_dedup.line_decisions(docs).collect() if r["n_dropped"]}
+    sets = [{s[i : i + width] for i in range(len(s) - width + 1)} for s in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    return dropped, {i for i, root in closure(range(len(lines)), links).items() if root != i}
+
+
+def test_line_dedup_links_lines_of_38_to_60_words(spark):
+    """Copies that miss a word or two, most of them shorter than a length that the first has."""
+    rng = random.Random(12)
+    words = [f"term{i}" for i in range(400)]
+    lines = []
+    for n in [42, 41, 40] * 20 + list(range(38, 61)):
+        base = [rng.choice(words) for _ in range(n)]
+        lines.append(" ".join(base))
+        for gone in (1, 2):
+            left = sorted(rng.sample(range(n), n - gone))
+            lines.append(" ".join(base[k] for k in left))
+    dropped, true = dropped_and_true(spark, lines)
+    assert dropped <= true and len(dropped) >= 0.97 * len(true)
