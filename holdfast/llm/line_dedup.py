@@ -5,7 +5,10 @@ set. One permutation hashing gives the MinHash signature: the hashed shingles fa
 and each bin's smallest is one component. Lines meet in a band where all its bins agree (at a Jaccard
 similarity of 0.8, in one of eight bands of four bins for 98.5 % of pairs). In each band every line is
 compared with the band's first and last line, on the whole shingle sets; links are closed to components
-by distributed union-find, and of all lines of a component the first occurrence in the corpus stays.
+by distributed union-find. Lines of a band that are then in different components are compared with each
+other, large bands dealt out as pairs of blocks, so every two lines that meet are compared or tied. Sizes
+and bitmaps of the shingle sets first rule out pairs that can't link. Of all lines of a component the
+first occurrence in the corpus stays.
 """
 
 from __future__ import annotations
@@ -18,6 +21,10 @@ from holdfast.sources.tables import stage
 
 #: Bands and bins of a band, as powers of two: 8 and 4.
 _BAND_BITS, _ROW_BITS = 3, 2
+#: Lines of a block; larger bands are dealt out as pairs of blocks.
+BLOCK = 512
+#: 64-bit words of a line's bitmap, as a power of two.
+_WORD_BITS = 2
 
 
 def shingles(line: Column, width: int) -> Column:
@@ -69,6 +76,59 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return lines.where(F.trim("line") != "")
 
 
+def _bitmap(hashes: Column) -> list[Column]:
+    """Words of a bitmap: bits that differ are at most as many as shingles that are in one set only."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def word(n: int) -> Column:
+        own = F.filter(hashes, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND((1 << _WORD_BITS) - 1) == n)
+        bits = F.transform(own, lambda h: F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int")))
+        return F.aggregate(bits, none, lambda all_, bit: all_.bitwiseOR(bit))
+
+    return [word(n) for n in range(1 << _WORD_BITS)]
+
+
+def _rest(distinct: DataFrame, banded: DataFrame, ends: DataFrame, tied: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(a, b) of lines that meet in a band, are in different components and may link.
+
+    Bands of up to three lines have no other pairs than those with their ends.
+    """
+    inner = banded.join(ends.where("members > 3"), "band").where("lid != low AND lid != high").select("band", "lid")
+    inner = inner.join(tied, "lid", "left").select("band", "lid", F.coalesce("root", "lid").alias("root"))
+    split = inner.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("two"), F.count("*").alias("members"))
+    split = split.where("one < two").select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    inner = stage(inner.join(split, "band"), "inner")
+
+    lines = distinct.join(inner.select("lid").distinct(), "lid", "left_semi")
+    hashed = _once(lines, "lid", hashes=F.array_distinct(shingles(F.col("line"), width)))
+    words = [f"w{i}" for i in range(1 << _WORD_BITS)]
+    sketch = hashed.select("lid", F.size("hashes").alias("size"), *(w.alias(c) for c, w in zip(words, _bitmap(F.col("hashes")), strict=True)))
+    cells = inner.withColumn("own", F.pmod(F.xxhash64("lid"), F.col("blocks")).cast("int"))
+    cells = cells.join(sketch, "lid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select(
+        "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "lid", "root", "size", *words
+    )
+    x, y = cells.alias("x"), cells.alias("y")
+    # In a cell of two blocks each pair has one line of either; in a cell of one block the ids' order tells them apart.
+    met = (F.col("x.own") < F.col("y.own")) | ((F.col("x.i") == F.col("x.j")) & (F.col("x.lid") < F.col("y.lid")))
+    differ = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in words), F.lit(0))
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    may = (small * den >= large * num) & (differ * (den + num) <= (small + large) * (den - num))
+    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    pairs = x.join(y, same & (F.col("x.root") != F.col("y.root")) & met & may)
+    return pairs.select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
+
+
+def _links(pairs: DataFrame, distinct: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Those of the pairs (a, b) of lines that link, by their whole shingle sets."""
+    text = distinct.select("lid", "line")
+    one, two = text.toDF("a", "line_a"), text.toDF("b", "line_b")
+    both = pairs.join(one, "a").join(two, "b")
+    sets = _once(both, "a", "b", x=F.array_distinct(shingles(F.col("line_a"), width)), y=F.array_distinct(shingles(F.col("line_b"), width)))
+    sizes = _once(sets, "a", "b", nx=F.size("x"), ny=F.size("y"), common=F.size(F.array_intersect("x", "y")))
+    return sizes.where(F.col("common") * den >= (F.col("nx") + F.col("ny") - F.col("common")) * num).select("a", "b")
+
+
 def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
@@ -87,18 +147,17 @@ def line_decisions(docs: DataFrame, width: int = 7, num: int = 80, den: int = 10
     distinct = stage(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
     banded = stage(band_keys(distinct, width), "bands")
-    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high")).where("low < high")
+    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high"), F.count("*").alias("members"))
+    ends = ends.where("low < high")
     met = banded.join(ends, "band").select("lid", F.explode(F.array("low", "high")).alias("other"))
     pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()
-    pairs = stage(pairs, "pairs")
-
-    text = distinct.select("lid", "line")
-    one, two = text.toDF("a", "line_a"), text.toDF("b", "line_b")
-    both = pairs.join(one, "a").join(two, "b")
-    sets = _once(both, "a", "b", x=F.array_distinct(shingles(F.col("line_a"), width)), y=F.array_distinct(shingles(F.col("line_b"), width)))
-    sizes = _once(sets, "a", "b", nx=F.size("x"), ny=F.size("y"), common=F.size(F.array_intersect("x", "y")))
-    linked = sizes.where(F.col("common") * den >= (F.col("nx") + F.col("ny") - F.col("common")) * num)
-    tied = components(linked.select("a", "b")).withColumnRenamed("id", "lid")
+    links = stage(_links(stage(pairs, "pairs"), distinct, width, num, den), "links")
+    tied = components(links).withColumnRenamed("id", "lid")
+    rest = stage(_rest(distinct, banded, ends, tied, width, num, den), "rest")
+    more = stage(_links(rest, distinct, width, num, den), "more")
+    if not more.isEmpty():
+        edges = more.unionByName(tied.select(F.col("lid").alias("a"), F.col("root").alias("b")))
+        tied = components(edges).withColumnRenamed("id", "lid")
 
     heads = distinct.select("lid", "h1", "h2", "at").join(tied, "lid", "left").withColumn("root", F.coalesce("root", "lid"))
     first = heads.groupBy("root").agg(F.min("at").alias("keep"))

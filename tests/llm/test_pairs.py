@@ -196,3 +196,32 @@ def test_line_dedup_links_lines_of_38_to_60_words(spark):
             lines.append(" ".join(base[k] for k in left))
     dropped, true = dropped_and_true(spark, lines)
     assert dropped <= true and len(dropped) >= 0.97 * len(true)
+
+
+def test_line_dedup_compares_all_lines_that_meet_in_a_band(spark, monkeypatch):
+    """A family of one template, whose bands hold many lines that neither of their ends ties."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rng = random.Random(21)
+    words = [f"word{i}" for i in range(500)]
+
+    def edited(base, n):
+        places = set(rng.sample(range(len(base)), n))
+        return [rng.choice(words) if k in places else w for k, w in enumerate(base)]
+
+    template = [rng.choice(words) for _ in range(60)]
+    variants = [edited(template, 11) for _ in range(150)]
+    lines = [" ".join(edited(v, rng.choice((0, 1, 2)))) for v in variants for _ in range(4)]
+    rng.shuffle(lines)
+    lines = list(dict.fromkeys(lines))
+    table = spark.createDataFrame(list(enumerate(lines)), "lid long, line string")
+    meet = {}
+    for r in line_dedup.band_keys(table, 7).collect():
+        meet.setdefault(r["band"], []).append(r["lid"])
+    assert max(map(len, meet.values())) > 3 * line_dedup.BLOCK
+    sets = [{s[i : i + 7] for i in range(len(s) - 6)} for s in lines]
+    pairs = {(i, j) for own in meet.values() for i in own for j in own if i < j}
+    links = [(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    want = {i for i, root in closure(range(len(lines)), links).items() if root != i}
+    dropped, true = dropped_and_true(spark, lines)
+    assert len(want) >= 0.97 * len(true)
+    assert dropped == want
