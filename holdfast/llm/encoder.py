@@ -3,7 +3,8 @@
 Byte-level BPE first cuts a text into pieces (letters, digits, marks, each with a leading space,
 and white space) and then encodes every piece by itself. The cuts are found here for a whole Arrow
 batch at a time; the library encodes the pieces not met before. Texts with code points beyond the
-ranges below, where character classes depend on the Unicode version, go to the library whole.
+ranges below, where character classes depend on the Unicode version, and texts that hold an added token's
+content, such as <|endoftext|>, go to the library whole.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # The library takes an added token's content out of a text before it cuts pieces.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.width = 2 if self.library.get_vocab_size(True) <= 1 << 16 else 4
         self.ids = np.dtype(f"<u{self.width}")
         self.keep = keep
@@ -145,6 +147,9 @@ class Encoder:
         edges = total[np.searchsorted(starts, bounds)]
         return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
+    def _added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
     def batch(self, batch: pa.RecordBatch, column: str):
         """(slice of the batch, ids of each of its texts) for each slice."""
         for part, data, bounds in pieces(batch, column):
@@ -153,7 +158,8 @@ class Encoder:
             leads = np.append(0, np.cumsum((data & 0xC0) != 0x80))
             at = leads[bounds]
             odd = ((points >= _LATIN) & (points < _MARKS[0])) | (points >= _MARKS[1])
-            if not odd.any():
+            added = self._added(text)
+            if not odd.any() and not added:
                 yield part, self._pieces(text, points, at)
                 continue
             before = np.append(0, np.cumsum(odd))
@@ -162,7 +168,7 @@ class Encoder:
             for i, odd_one in enumerate(strange):
                 a, b = at[i], at[i + 1]
                 own = text[a:b]
-                out += self.whole([own]) if odd_one else self._pieces(own, points[a:b], np.array([0, b - a]))
+                out += self.whole([own]) if odd_one or (added and self._added(own)) else self._pieces(own, points[a:b], np.array([0, b - a]))
             yield part, out
 
 

@@ -72,6 +72,21 @@ def test_ids_equal_the_library(monkeypatch):
     assert [list(g) for g in got] == [w.ids for w in want]
 
 
+def test_ids_of_added_tokens_equal_a_fresh_library():
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    from holdfast.llm import encoder
+
+    fresh = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    assert fresh.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+    own = encoder.Encoder(path("byte_bpe_50k.json"))
+    values = ["<|endoftext|>", "plain", "one <|endoftext|>  two", "<|endoftext|><|endoftext|>\n", "<|endof", "text|> x", "<|endoftext|", "世 <|endoftext|>", "", "it's"]
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(values, pa.string())})
+    got = [list(ids) for _, found in own.batch(batch, "t") for ids in found]
+    assert got == [x.ids for x in fresh.encode_batch(values, add_special_tokens=False)]
+
+
 def test_guess_cost_prefers_the_cheapest_cut():
     assert guess_cost("") == 0
     assert guess_cost("password") < 1
