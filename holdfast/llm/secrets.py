@@ -30,10 +30,12 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # runs of the pattern's class, of 20 characters or more
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: Words that announce a credential, and what stands between them and its value.
+#: Words that announce a credential, and what stands between them and its value. A quote that opens the
+#: value takes it to the same quote on its line, escaped ones passed over; otherwise the value is bare.
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code)?|pwd|credentials?|secret|token|auth|bearer|(?:api|access|private|secret)[_ -]?key)"
-    r"[\"']?[ \t]*(?::|=>?)[ \t]*[\"']?([^\s\"'<>,;(){}]{6,})",
+    r"[\"']?[ \t]*(?::|=>?)[ \t]*"
+    r"(?:\"((?:[^\"\\\r\n]|\\[^\r\n])*+)\"|'((?:[^'\\\r\n]|\\[^\r\n])*+)'|[\"']?([^\s\"'<>,;(){}]{6,}))",
     re.IGNORECASE | re.ASCII,
 )
 #: log10 of the guesses from which a value counts as a secret.
@@ -138,7 +140,10 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    found += [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if guess_cost(m[1]) >= GUESSES]
+    for m in CONTEXT.finditer(text):
+        k = m.lastindex
+        if m.end(k) - m.start(k) >= 6 and guess_cost(m[k]) >= GUESSES:
+            found.append((m.start(k), 3, m.end(k)))
     return sorted(found)
 
 

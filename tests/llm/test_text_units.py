@@ -126,3 +126,22 @@ def test_base_spans_equal_the_stated_patterns():
         value = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
         assert [s for s in spans_of(value) if s[1] < 3] == base_spans(value)
     assert spans_of("token: token: hunter22")[:1] == [] or all(s[1] == 3 for s in spans_of("token: token: hunter22"))
+
+
+def test_quoted_values_are_scored_to_their_closing_quote():
+    def guesses(value):
+        return [value[a:b] for a, kind, b in spans_of(value) if kind == 3]
+
+    assert guesses('pwd = "aB3(x9{Kq!7TzLw"') == ["aB3(x9{Kq!7TzLw"]
+    assert guesses("passphrase: 'Vq Zx Kj Wp' # note") == ["Vq Zx Kj Wp"]
+    assert guesses(r'{"pwd": "x\"9$Kq,2vL!m", "n": 1}') == [r'x\"9$Kq,2vL!m']
+    assert guesses('pwd="" pwd=x9$Kq2vL!mZ7, other') == ["x9$Kq2vL!mZ7"]
+    assert guesses('pwd="x9$Kq2vL!mZ7\n"') == ["x9$Kq2vL!mZ7"]  # never closed on its line
+    assert guesses('pwd = "a,b" and pwd = "password"') == []
+    rng = random.Random(8)
+    printable = [chr(c) for c in range(33, 127) if chr(c) not in "\"'\\\\"]
+    for _ in range(500):
+        value = "".join(rng.choice(printable) for _ in range(16))
+        want = [value] if guess_cost(value) >= 8 else []
+        for quote in "\"'":
+            assert guesses(f"pwd = {quote}{value}{quote}") == want
