@@ -326,6 +326,16 @@ def test_large_leaves_are_dealt_out(spark, monkeypatch):
     assert near == [(k, 50 * k, 0.0) for k in range(1, 8)] + [(k, v, 1.0) for k, v in ((8, 1), (9, 51), (10, 101))]
 
 
+def test_rows_that_repeat_a_vec_id_take_one_place(spark):
+    same = [(i, [1.0, 2.0], 0) for i in range(15) for _ in range(30)]
+    near = [(20, [1.0, 2.5 + 0.1 * n], 0) for n in range(15)]
+    got = rp_forest.nearest_neighbours(spark.createDataFrame(same + near, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(k, k, 0.0) for k in range(1, 11)]
+    few = [r for r in same if r[0] < 4] + near
+    got = rp_forest.nearest_neighbours(spark.createDataFrame(few, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 1, 0.0), (2, 2, 0.0), (3, 3, 0.0), (4, 20, 0.5)]
+
+
 # --- secrets ----------------------------------------------------------------------
 
 
