@@ -79,6 +79,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *RESULTS)
 
 
+def op13_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.shards import shard_documents
+
+    return shard_documents(_documents(spark, sf_dir), shards=16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By operator number."""
     own = [f for name, f in globals().items() if name.startswith("op")]
