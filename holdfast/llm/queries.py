@@ -79,6 +79,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *RESULTS)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.spelling import spelling_variants
+
+    return spelling_variants(_documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from holdfast.llm.shards import shard_documents
 

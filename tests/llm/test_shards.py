@@ -67,8 +67,8 @@ def test_edit_moves_only_what_is_too_much(spark):
     first = shards.store_map(shards.edit_map(table, 16), folder, 1)
     grown, moves = shards.rebalance(table, 17, folder)
     moved, total = moves.collect(), sum(loads(first, 16))
-    assert {r["target"] for r in moved} == {16}
-    assert 0 < sum(r["bytes"] for r in moved) <= total / 17 + 700
+    added = sum(r["bytes"] for r in moved if r["target"] == 16)
+    assert 0.95 * total / 17 < added and sum(r["bytes"] for r in moved) < 1.15 * total / 17
     held = loads(grown, 17)
     assert max(held) - min(held) < 0.03 * total / 17
     assert shards.read_map(spark, folder)[0] == 2 and shards.read_map(spark, folder, 1)[1].count() == shards.SLOTS
