@@ -79,6 +79,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", *RESULTS)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from holdfast.llm.whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from holdfast.llm.spelling import spelling_variants
 
