@@ -111,7 +111,8 @@ def weekly_risk_source(
     # The final DISTINCT covers repeated versions; one more here would only shuffle.
     places = in_markets(_placed_versions(current, product, publication, rules), markets)
     placed = effective_join(
-        week_of(tiers, run_date), places, on=["id_subscrip"], date="inference_date"
+        week_of(tiers, run_date), places, on=["id_subscrip"], date="inference_date",
+        day=target_date(run_date, "sunday"),
     )
     links = billing_links(link).withColumnRenamed("circ_idsubscrip", "id_subscrip")
     return (

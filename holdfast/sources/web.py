@@ -81,10 +81,12 @@ def identity_map(
     )
 
 
-def attribute_events(visits: DataFrame, identities: DataFrame) -> DataFrame:
-    """Give each visit the subscriptions its visitor held on that day."""
+def attribute_events(
+    visits: DataFrame, identities: DataFrame, day: dt.date | None = None
+) -> DataFrame:
+    """Give each visit the subscriptions its visitor held on that day; `day` if all visits are of one."""
     return effective_join(
-        visits, identities, on=["anonymous_id", "website_id"], date="event_date"
+        visits, identities, on=["anonymous_id", "website_id"], date="event_date", day=day
     )
 
 
@@ -97,9 +99,10 @@ def online_cancel_events(
     experiment_start: dt.date = EXPERIMENT_START,
 ) -> DataFrame:
     """Cancel-flow visits of one day (never before the experiment) by subscription."""
-    day = F.lit(max(run_date, experiment_start))
+    date = max(run_date, experiment_start)
+    day = F.lit(date)
     # Small after the roll-up and read twice below; events are scanned once.
     visits = stage(roll_up_flags(flag_events(events.where(F.col("event_date") == day))), "visits")
     # Versions not valid that day cannot match; drop them before they fan out.
     current = subscriptions.where(day.between(F.col("effective_date"), F.col("end_date")))
-    return attribute_events(visits, identity_map(current, known, product, visits))
+    return attribute_events(visits, identity_map(current, known, product, visits), date)
