@@ -165,6 +165,10 @@ def snapshot(
 ) -> str:
     """Copy one partition, or the whole table, to Parquet or CSV by suffix."""
     df = read_partition(spark, table, field, day) if field else spark.read.parquet(table)
+    return save_copy(df, path)
+
+
+def save_copy(df: DataFrame, path: str) -> str:
     if path.endswith(".parquet"):
         df.write.mode("overwrite").parquet(path)
     else:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,7 +81,7 @@ def publish(spark: SparkSession, table: str, publication: Publication) -> None:
     store.create(at, False).close()
 
 
-def _replace(df: DataFrame, table: str, part: str, run: str) -> int:
+def _replace(df: DataFrame, table: str, part: str, run: str, fence: Callable[[], None] | None = None) -> int:
     if not _RUN.fullmatch(run):
         raise ValueError(f"A run id is of letters, digits, _ and -, not {run!r}.")
     spark = df.sparkSession
@@ -90,6 +91,8 @@ def _replace(df: DataFrame, table: str, part: str, run: str) -> int:
         return done[-1]
     order = earlier[-1].order + 1 if earlier else 0
     rows = write_version(df, Publication(part, order, run, 0).folder(table))
+    if fence is not None:
+        fence()
     publish(spark, table, Publication(part, order, run, rows))
     return rows
 
@@ -99,15 +102,18 @@ def replace_table(df: DataFrame, table: str, run: str) -> int:
     return _replace(df, table, WHOLE, run)
 
 
-def replace_partition(df: DataFrame, table: str, field: str, day: dt.date, run: str) -> int:
+def replace_partition(
+    df: DataFrame, table: str, field: str, day: dt.date, run: str, fence: Callable[[], None] | None = None
+) -> int:
     """Replace one date partition as run `run`; the empty result is a version like any other.
 
-    A row of another date, or without one, fails the write.
+    A row of another date, or without one, fails the write. `fence` is called last before the publication;
+    what it raises keeps the version unpublished.
     """
     wrong = F.coalesce(F.col(f"`{field}`") != F.lit(day), F.lit(True))
     message = F.concat(F.lit("row of "), F.coalesce(F.col(f"`{field}`").cast("string"), F.lit("no date")), F.lit(f" in partition {day}"))
     checked = df.withColumn(field, F.when(wrong, F.raise_error(message).cast("date")).otherwise(F.col(f"`{field}`")))
-    return _replace(checked, table, _part(field, day), run)
+    return _replace(checked, table, _part(field, day), run, fence)
 
 
 def read(
@@ -130,6 +136,11 @@ def latest(spark: SparkSession, table: str, field: str) -> dt.date | None:
     return max((_day(p.part, field) for p in found if p.rows), default=None)
 
 
+def schema_of(spark: SparkSession, table: str) -> StructType:
+    """Schema of a published version; tables keep one schema."""
+    return spark.read.parquet(publications(spark, table)[-1].folder(table)).schema
+
+
 def roll_back(spark: SparkSession, table: str, field: str | None, day: dt.date | None, run: str) -> None:
     """Publish an earlier version again, under a new order; its data must not have been vacuumed."""
     part = _part(field, day)

@@ -1,0 +1,101 @@
+"""Dates of a catch-up side by side: order, time limit, cancelled jobs, nothing published late."""
+
+import datetime as dt
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from holdfast.plans import incremental
+from holdfast.sources import tables, versions
+
+DAYS = [dt.date(2026, 4, d) for d in range(1, 13)]
+HANGING, ASLEEP, FAILING = DAYS[2], DAYS[5], DAYS[7]
+
+
+def target(tmp_path, **changes):
+    options = dict(
+        table=str(tmp_path / "t"), script="sql/daily.sql", log=str(tmp_path / "log"), partition_field="d", versioned=True
+    )
+    return incremental.Target(**{**options, **changes})
+
+
+def rows(session, day, n):
+    return session.range(n).select(F.lit(day).alias("d"), F.col("id").alias("x"))
+
+
+def test_hanging_dates_are_given_up(spark, tmp_path):
+    woken, late = threading.Event(), []
+
+    def query(session, day):
+        if day == FAILING:
+            raise RuntimeError("boom")
+        if day == ASLEEP:
+            woken.wait(120)
+            late.append(day)
+        if day == HANGING:  # a job that has no end
+            return session.range(0, 10**15, 1, 1).where("hash(id) = 1 and hash(id + 1) = 2").select(F.lit(day).alias("d"), F.col("id").alias("x"))
+        return rows(session, day, day.day)
+
+    t = target(tmp_path)
+    began = time.monotonic()
+    status = incremental.run_side_by_side(spark, query, t, DAYS, workers=4, time_limit=25).collect()
+    assert time.monotonic() - began < 100
+    assert [r["run_date"] for r in status] == DAYS
+    failed = {r["run_date"]: r["error"] for r in status if not r["ok"]}
+    assert set(failed) == {HANGING, ASLEEP, FAILING} and failed[FAILING] == "boom"
+    assert "no end after 25 seconds; nothing was published" in failed[HANGING]
+    assert all(r["rows"] == r["run_date"].day for r in status if r["ok"])
+    tracker = spark.sparkContext.statusTracker()
+    deadline = time.monotonic() + 20
+    while tracker.getActiveJobsIds() and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not tracker.getActiveJobsIds()
+    woken.set()  # the sleeper goes on, and is stopped before it publishes
+    while not late and time.monotonic() < deadline:
+        time.sleep(0.2)
+    time.sleep(3)
+    days = {r["d"] for r in versions.read(spark, t.table, "d date, x long", "d").select("d").distinct().collect()}
+    assert days == set(DAYS) - {HANGING, ASLEEP, FAILING}
+    assert len(tables.load_history(spark, t.log).collect()) == 9
+
+
+def test_retry_under_a_run_id_writes_only_what_is_missing(spark, tmp_path):
+    broken, asked = {DAYS[1]}, []
+
+    def query(session, day):
+        if day in broken:
+            raise RuntimeError("not yet")
+        asked.append(day)
+        return rows(session, day, 2 if len(asked) <= 2 else 5)
+
+    t = target(tmp_path)
+    go = lambda: incremental.run_side_by_side(spark, query, t, DAYS[:3], workers=2, run_id="week-14").collect()
+    assert [r["ok"] for r in go()] == [True, False, True]
+    broken.clear()
+    assert [(r["ok"], r["rows"]) for r in go()] == [(True, 2), (True, 5), (True, 2)]
+    assert len(versions.publications(spark, t.table)) == 3
+
+
+def test_assessments_are_made_in_order(spark, tmp_path):
+    sizes = dict(zip(DAYS, (10, 10, 12), strict=False))
+    t = target(tmp_path, snapshot_folder=str(tmp_path / "snap"), snapshot_suffix="csv")
+    status = incremental.run_side_by_side(spark, lambda s, d: rows(s, d, sizes[d]), t, DAYS[:3], workers=3).collect()
+    assert [(r["ok"], r["rows"]) for r in status] == [(True, 10), (True, 10), (True, 12)]
+    history = {r["run_date"]: r["row_count_passed"] for r in tables.load_history(spark, t.log).collect()}
+    assert [history[d.isoformat()] for d in DAYS[:3]] == [True, True, False]
+
+
+def test_versioned_target_in_the_plain_loop(spark, tmp_path):
+    t = target(tmp_path, snapshot_folder=str(tmp_path / "snap"))
+    sizes = {DAYS[0]: 3, DAYS[1]: 0}
+    status = incremental.run(spark, lambda s, d: rows(s, d, sizes[d]), t, DAYS[:2]).collect()
+    assert [(r["ok"], r["rows"]) for r in status] == [(True, 3), (True, 0)]
+    assert incremental.dates_to_run(spark, DAYS[3], "exact", t, catch_up=True) == (DAYS[1:4], None)
+
+
+def test_only_versioned_partitions(spark, tmp_path):
+    for wrong in (dict(versioned=False), dict(partition_field=None)):
+        with pytest.raises(ValueError, match="side by side"):
+            incremental.run_side_by_side(spark, rows, target(tmp_path, **wrong), DAYS)

@@ -26,7 +26,7 @@ from holdfast.operators import (
 from holdfast.operators.intervals import effective_join
 from holdfast.plans import experiment, incremental
 from holdfast.schemas import CALL_CENTER
-from holdfast.sources import cohort, tables, web
+from holdfast.sources import cohort, loads, tables, versions, web
 from holdfast.sources.tables import scratch_path, stage
 from workbench.adapter import (
     CUTOFF,
@@ -112,6 +112,35 @@ def s3_csv_append(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{base}/table")
 
 
+@query
+def s3_exactly_once_load(v: Views) -> DataFrame:
+    """Files come one by one, two kinds of them malformed; every call sees the whole folder."""
+    base = scratch_path(v.spark, "s3")
+    for kind in EVENT_TYPES:
+        rows = _call_rows(v, kind)
+        if kind == "error":
+            rows = rows.withColumn("event_date", F.date_format("event_date", "'day' D"))
+        if kind == "signup":
+            rows = rows.withColumn("one_too_many", F.lit("x"))
+        tables.export_csv(rows, f"{base}/csv/{kind}")
+        for _ in range(2):
+            loads.load_files(v.spark, f"{base}/csv", CALL_CENTER, f"{base}/table")
+    good = loads.read(v.spark, f"{base}/table", CALL_CENTER)
+    bad = loads.quarantine(v.spark, f"{base}/table", CALL_CENTER)
+    return good.select("Account", "event_date", F.lit(False).alias("quarantined")).unionByName(
+        bad.select(F.split("line", ",")[0].alias("Account"), F.lit(None).cast("date").alias("event_date"), F.lit(True).alias("quarantined"))
+    )
+
+
+@query
+def s4_versioned_table(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "s4")
+    versions.replace_table(v.applied, path, "first")
+    versions.replace_table(v.applied.where("modeltype = 'PCHURN'"), path, "second")
+    versions.replace_table(v.applied, path, "first")  # a late retry: nothing happens
+    return versions.read(v.spark, path, v.applied.schema)
+
+
 @query
 def s4_replace_table(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "s4")
@@ -146,6 +175,20 @@ def s5_replace_partition(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).select("event_date", "user_id", "n")
 
 
+@query
+def s5_versioned_partitions(v: Views) -> DataFrame:
+    path, days = scratch_path(v.spark, "s5"), [dt.date(2024, 1, d) for d in range(3, 8)]
+    daily = stage(_daily(v), "daily")
+    of = lambda day: daily.where(F.col("event_date") == F.lit(day))
+    for day in days:
+        versions.replace_partition(of(day), path, "event_date", day, "load")
+    versions.replace_partition(of(days[1]).where("n > 1"), path, "event_date", days[1], "again")
+    versions.replace_partition(of(days[2]).where("n < 0"), path, "event_date", days[2], "again")
+    versions.replace_partition(of(days[3]).where("n < 0"), path, "event_date", days[3], "again")
+    versions.roll_back(v.spark, path, "event_date", days[3], "load")
+    return versions.read(v.spark, path, daily.schema, "event_date")
+
+
 @query
 def s6_latest_partition(v: Views) -> DataFrame:
     path = _partitioned(v, "s6", _daily(v))
@@ -260,6 +303,17 @@ def p5_error_isolation(v: Views) -> DataFrame:
     return printable_ints(status.select("run_date", "ok", "rows", "error"), "rows")
 
 
+@query
+def p5_side_by_side(v: Views) -> DataFrame:
+    days = [dt.date(2024, 1, d) for d in range(11, 17)]
+    target = incremental.Target(
+        table=scratch_path(v.spark, "p5"), script="sql/daily.sql", log=scratch_path(v.spark, "log"),
+        partition_field="event_date", versioned=True,
+    )
+    status = incremental.run_side_by_side(v.spark, _one_day(v), target, days, workers=3)
+    return printable_ints(status.select("run_date", "ok", "rows", "error"), "rows")
+
+
 @query
 def p6_extract_date(v: Views) -> DataFrame:
     target = _target(v, "p6", snapshots=True)

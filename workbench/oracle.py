@@ -204,12 +204,20 @@ ORACLE["s3_csv_append"] = """
     select 'Customer#' || user_id as "Account", cast(10 * user_id as varchar) as "idSubscrip",
       event_date, k % 2 as "Saves__Digital_to_Digital_"
     from v_events"""
+ORACLE["s3_exactly_once_load"] = """
+    select 'Customer#' || user_id as "Account", event_type in ('error', 'signup') as quarantined,
+      case when event_type not in ('error', 'signup') then event_date end as event_date
+    from v_events"""
+ORACLE["s4_versioned_table"] = "select * from v_applied where modeltype = 'PCHURN'"
 ORACLE["s4_replace_table"] = "select * from v_applied where modeltype = 'PCHURN'"
 VIEWS["v_daily"] = "select event_date, user_id, count(*) as n from v_events group by 1, 2"
 VIEWS["v_loaded"] = "select * from v_daily where event_date <= date '2024-01-10'"
 ORACLE["s5_replace_partition"] = """
     select * from v_loaded where event_date not in (date '2024-01-05', date '2024-01-06')
       or (event_date = date '2024-01-05' and n > 1)"""
+ORACLE["s5_versioned_partitions"] = """
+    select * from v_daily where event_date between date '2024-01-03' and date '2024-01-07'
+      and event_date <> date '2024-01-05' and (event_date <> date '2024-01-04' or n > 1)"""
 ORACLE["s6_latest_partition"] = """
     select max(event_date) as latest, cast(null as date) as absent from v_daily"""
 ORACLE["s7_snapshot_partition"] = "select * from v_daily where event_date = date '2024-01-05'"
@@ -241,6 +249,7 @@ ORACLE["p5_error_isolation"] = """
       cast(case when day(event_date) not in (13, 15) then count(*) end as double) as rows,
       case day(event_date) when 13 then 'source unavailable' when 15 then 'RuntimeError' end as error
     from v_daily where event_date between date '2024-01-11' and date '2024-01-16' group by 1"""
+ORACLE["p5_side_by_side"] = ORACLE["p5_error_isolation"]
 ORACLE["p6_extract_date"] = "select * from v_daily where event_date = date '2024-01-11'"
 ORACLE["p7_log_only"] = """
     select cast(event_date as varchar) as run_date, 'p7.sql' as sql_file, cast(null as double) as row_count
