@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import Any
 
@@ -85,6 +85,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, build: Callable[[], DataFrame], name: str = "settled") -> DataFrame:
+    """Write what `build` returns, delete all that it staged on the way, and read the result back."""
+    path = scratch_path(spark, name)
+    with staging(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df

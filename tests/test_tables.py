@@ -198,6 +198,19 @@ def test_staging_scope_deletes_its_folder(spark):
     assert tables.stage(spark.range(2).toDF("n")).count() == 2
 
 
+def test_settled_result_outlives_what_it_was_made_from(spark):
+    made = []
+
+    def build():
+        made.append(tables.stage(spark.range(5).toDF("n")))
+        return made[0].where("n > 2")
+
+    kept = tables.settle(spark, build)
+    assert sorted(r["n"] for r in kept.collect()) == [3, 4]
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        made[0].count()
+
+
 def test_errors_without_text_are_reported_by_kind():
     assert incremental._summary(RuntimeError()) == "RuntimeError"
     assert incremental._summary(ValueError("first\nsecond")) == "first"
