@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.text import _PLACES, ALNUM, mix, pieces, span_hashes, word_spans
+from holdfast.llm.text import ALNUM, _PLACES, apart, mix, pieces, span_hashes, word_spans
 
 #: Bytes of benchmark text in one broadcast.
 ITEM_BYTES = 1 << 22
@@ -210,7 +210,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFr
     """
     spark = docs.sparkSession
     keep = [c for c in docs.columns if c not in RESULTS]
-    rows = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    rows = docs.select(*apart(docs, keep), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    own = rows.columns[:-1]
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -221,11 +222,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFr
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
         held = spark.sparkContext.broadcast([(r[0], r[1]) for r in part.toLocalIterator()])
         more = shard < shards - 1
-        carried = [*keep, "_text"] if more else keep
+        carried = [*own, "_text"] if more else own
         fields = [rows.schema[c] for c in carried]
         if more:
             fields += [T.StructField("_spans", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))]
         else:
             fields += [T.StructField(c, k) for c, k in zip(RESULTS, _KINDS, strict=True)]
         rows = rows.mapInArrow(_search(held, width, carried, more), T.StructType(fields))
-    return rows
+    return rows.toDF(*keep, *RESULTS)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
 from holdfast.llm.text import SPACED, mix, texts_shingles
-from holdfast.sources.tables import stage
+from holdfast.sources.tables import settle, stage
 
 #: Members of a bucket that one task takes, in one block.
 BLOCK = 512
@@ -500,19 +500,18 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
     Rows that repeat a kept document wholly in doc_id and text are dropped too; texts without words
     link with nothing and all stay.
     """
-    found = link_documents(docs, width, num, den)
-    wordless = found.where("n_shingles = 0").select("r1", "r2").distinct().withColumn("_all", F.lit(True))
-    chosen = found.where("n_shingles > 0 AND kept").select("r1", "r2").distinct().withColumn("_all", F.lit(False))
+    found = settle(docs.sparkSession, lambda: link_documents(docs, width, num, den), "linked")
+    wordless = found.where("n_shingles = 0").select("r1", "r2").distinct().withColumn("all", F.lit(True))
+    chosen = found.where("n_shingles > 0 AND kept").select("r1", "r2").distinct().withColumn("all", F.lit(False))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     r1, r2 = (
         F.xxhash64(F.col("doc_id").cast("long"), text),
         F.xxhash64(text, F.col("doc_id").cast("long"), F.lit(1)),
     )
-    names = docs.columns
-    rows = docs.withColumns({"_r1": r1, "_r2": r2})
-    marks = chosen.unionByName(wordless).select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), "_all")
-    rows = stage(rows.join(marks, ["_r1", "_r2"]), "kept")
-    once = rows.where("NOT _all")
-    if once.count() > once.select("_r1", "_r2").distinct().count():
-        once = once.dropDuplicates(["_r1", "_r2"])
-    return once.select(*names).unionByName(rows.where("_all").select(*names))
+    # All columns as one, so that no name can clash.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"), r1.alias("r1"), r2.alias("r2"))
+    rows = stage(rows.join(chosen.unionByName(wordless), ["r1", "r2"]), "kept")
+    once = rows.where("NOT all")
+    if once.count() > once.select("r1", "r2").distinct().count():
+        once = once.dropDuplicates(["r1", "r2"])
+    return once.select("record.*").unionByName(rows.where("all").select("record.*"))

@@ -180,10 +180,13 @@ def line_decisions(docs: DataFrame, width: int = 7, num: int = 80, den: int = 10
 def drop_repeated_lines(docs: DataFrame, width: int = 7, num: int = 80, den: int = 100) -> DataFrame:
     """The documents, all their columns, with the lines that stay. A text none of whose lines stay is empty."""
     found = line_decisions(docs, width, num, den).where("n_dropped > 0")
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), "dropped")
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(body) == F.col("_row"))
+    # All columns as one, so that no name can clash.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"))
+    own = F.col("record.text")
+    body = F.coalesce(own.cast("string"), F.lit(""))
+    same = F.col("record.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (F.xxhash64(body) == F.col("row"))
     gone = F.map_from_arrays(F.col("dropped"), F.col("dropped"))
     rest = F.filter(F.split(body, "\n"), lambda line, n: ~F.map_contains_key(gone, n))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    return docs.join(found, same, "left").select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    text = F.when(F.col("dropped").isNull(), own).otherwise(F.array_join(rest, "\n"))
+    joined = rows.join(found.select("doc_id", "row", "dropped"), same, "left")
+    return joined.select(*((text if c == "text" else F.col(f"record.`{c}`")).alias(c) for c in docs.columns))

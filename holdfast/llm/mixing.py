@@ -151,10 +151,11 @@ def mix_sources(docs: DataFrame, target: Target) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, target: Target) -> DataFrame:
     """The documents, all their columns, each as often as it is drawn."""
-    copies = draw(stage(_units(docs), "units"), target).groupBy("r1", "r2").agg(F.count("*").alias("_copies"))
+    copies = draw(stage(_units(docs), "units"), target).groupBy("r1", "r2").agg(F.count("*").alias("copies"))
     r1, r2 = _keys()
-    joined = docs.withColumns({"_r1": r1, "_r2": r2}).join(
-        copies.select(F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), "_copies"), ["_r1", "_r2"]
+    # All columns as one, so that no name can clash.
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record"), r1.alias("r1"), r2.alias("r2"))
+    often = rows.join(copies, ["r1", "r2"]).select(
+        "record", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
     )
-    often = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return often.select(*docs.columns)
+    return often.select("record.*")

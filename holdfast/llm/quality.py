@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.text import SPACED, pieces, span_hashes, word_spans
+from holdfast.llm.text import SPACED, apart, pieces, span_hashes, word_spans
 
 FEATURES = [
     "log_bytes", "word_bytes", "upper", "digits", "points", "marks", "outside_ascii", "distinct_words",
@@ -304,12 +304,13 @@ def score_quality(
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
     keep = [c for c in docs.columns if c not in RESULTS]
-    rows = docs.select(*keep, _text())
-    fields = [rows.schema[c] for c in keep] + [T.StructField("score", T.DoubleType())]
-    scored = rows.mapInArrow(_score(model, keep), T.StructType(fields))
+    rows = docs.select(*apart(docs, keep), _text())
+    own = rows.columns[:-1]
+    fields = [rows.schema[c] for c in own] + [T.StructField("score", T.DoubleType())]
+    scored = rows.mapInArrow(_score(model, own), T.StructType(fields))
     return scored.select(
-        *keep,
-        held_out(F.col("doc_id")).alias("held_out"),
+        *[F.col(c).alias(name) for c, name in zip(own, keep, strict=True)],
+        held_out(F.col(own[keep.index("doc_id")])).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )

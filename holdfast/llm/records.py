@@ -127,12 +127,17 @@ def write_index(spark: SparkSession, path: str, index: str) -> DataFrame:
 
 
 def with_starts(index: DataFrame) -> DataFrame:
-    """`start`: ids of all records before this one. Sums by file first, so the running sum
-    over everything sees one row a file."""
-    sizes = index.groupBy("file").agg(F.sum("n_tokens").alias("_size"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    return index.join(bases, "file").withColumn("start", F.col("_base") + F.col("start_in_file"))
+    """`start`: ids of all records before this one. Files follow each other by the numbers of the task and of
+    its file, which names show padded to a fixed width only up to a point. Sums by file and by task first,
+    so the running sum over everything sees one row a task."""
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("long")
+    sizes = index.groupBy("file").agg(F.sum("n_tokens").alias("size"))
+    sizes = sizes.select("file", "size", number(r"/part-(\d+)-[^/]*$").alias("task"), number(r"-c(\d+)[^/]*$").alias("nth"))
+    upto = lambda window: F.coalesce(F.sum("size").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = sizes.groupBy("task").agg(F.sum("size").alias("size")).select("task", upto(Window.orderBy("task")).alias("first"))
+    inside = sizes.select("file", "task", upto(Window.partitionBy("task").orderBy("nth")).alias("inside"))
+    bases = inside.join(tasks, "task").select("file", (F.col("first") + F.col("inside")).alias("base"))
+    return index.join(bases, "file").withColumn("start", F.col("base") + F.col("start_in_file")).drop("base")
 
 
 def _pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 
 #: Bytes handled at once; bounds the arrays of eight bytes per input byte.
 PIECE = 1 << 21
@@ -34,6 +35,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 _PLACES = mix(np.arange(1, 257, dtype=_U)) | _U(1)
 
 
+def apart(docs: DataFrame, keep: list[str]) -> list[Column]:
+    """The columns `keep` under names c0, c1, ..., which no helper column can clash with."""
+    return [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)]
+
+
 @dataclass(frozen=True)
 class Alphabet:
     """Which bytes belong to words, after A-Z are folded to a-z."""

@@ -1,14 +1,16 @@
 """Words, shingles, token ids and guess costs without Spark."""
 
+import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from holdfast.llm import text
-from holdfast.llm.secrets import ACCESS, ASSIGN, HEX, guess_cost, spans_of
+from holdfast.llm.secrets import ACCESS, ASSIGN, HEX, guess_cost, ranks, spans_of
 
 ALPHABET = "abAB zZ\t\n\x0b\x0c\r\x1c.,!'0é世 — "
 
@@ -145,3 +147,72 @@ def test_quoted_values_are_scored_to_their_closing_quote():
         want = [value] if guess_cost(value) >= 8 else []
         for quote in "\"'":
             assert guesses(f"pwd = {quote}{value}{quote}") == want
+
+
+def cost_by_enumeration(value, rank_of):
+    """Every way of cutting a short value, each piece priced by itself."""
+    from functools import lru_cache
+
+    rows = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz"]
+    leet = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
+
+    def beside(a, b):
+        return any(a in row and b in row and abs(row.index(a) - row.index(b)) == 1 for row in rows)
+
+    def price(piece):
+        low, n, best = piece.lower(), len(piece), math.inf
+        if n == 1:
+            return 1.0
+        plain = "".join(leet.get(c, c) for c in low)
+        if n >= 3 and plain in rank_of:
+            upper = sum(c.isupper() for c in piece)
+            if not upper:
+                ways = 1
+            elif piece.isupper() or (upper == 1 and piece[0].isupper()):
+                ways = 2
+            else:
+                ways = sum(math.comb(n, k) for k in range(1, upper + 1))
+            best = min(best, math.log10(rank_of[plain]) + math.log10(ways) + math.log10(2) * sum(c in leet for c in low))
+        if n >= 3 and all(beside(a, b) for a, b in zip(low, low[1:])):
+            turns = sum(low[k] == low[k - 2] for k in range(2, n))
+            best = min(best, math.log10(40 * n) + turns * math.log10(2 * n))
+        return best
+
+    @lru_cache(None)
+    def cut(start):
+        if start == len(value):
+            return 0.0
+        return min(price(value[start:end]) + cut(end) for end in range(start + 1, len(value) + 1))
+
+    return cut(0)
+
+
+def test_guess_cost_equals_enumeration_of_cuts():
+    rank_of = ranks(["zebra", "information", "qwert", "letters"])
+    rng = random.Random(11)
+    pieces = ["zebra", "Zebra", "zEBra", "z3br@", "qwert", "letters", "letme1n", "K", "9", "asdfg", "fdsa", "poi", "x", "hgf", "M4st3r"]
+    for _ in range(300):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 4)))
+        if re.search(r"(.{1,4})\1", value.lower()) or re.search(r"(19|20)\d\d", value):
+            continue  # repeats and dates are priced in a test of their own
+        assert guess_cost(value, rank_of) == pytest.approx(cost_by_enumeration(value, rank_of))
+
+
+def test_walks_pay_for_their_turns():
+    assert guess_cost("asdfdsasdfdsa") > guess_cost("asdfghjkl") + 2
+    assert guess_cost("asdfghjkl") == pytest.approx(math.log10(360))
+
+
+def test_long_runs_take_no_time():
+    began = time.monotonic()
+    for letter in "aeiouy":
+        assert spans_of("password = " + letter * 10_000)
+        assert spans_of("pwd = " + letter * 5_000 + "bbbb" + letter * 5_000)
+        spans_of("pwd = " + "aeiou" * 2_000 + "9")
+    spans_of("pwd = " + "qwertrewq" * 1_000 + " secret: '" + "\\'" * 10_000)
+    assert time.monotonic() - began < 5
+
+
+def test_pronounceable_letters_are_brute_force_unless_listed():
+    assert guess_cost("tarimolexa") == 10.0
+    assert guess_cost("tarimolexa", ranks(["tarimolexa"])) < 2

@@ -60,6 +60,19 @@ def test_records_round_trip(spark):
     assert records.token_records(docs.limit(0), BPE, 2).count() == 0
 
 
+def test_over_a_thousand_files_of_a_task_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(records, "RECORDS_PER_FILE", 1)
+    docs = spark.range(1100).select(F.col("id").alias("doc_id"), F.lit("word").alias("text")).coalesce(1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "1")
+    try:
+        got = records.token_records(docs, BPE, 2).orderBy("start").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert any("-c1000" in r["file"] for r in got)
+    assert [r["doc_id"] for r in got] == list(range(1100))
+    assert [r["start"] for r in got] == [2 * k for k in range(1100)]
+
+
 def test_damaged_records_are_refused():
     good = records.frame(5, np.array([1, 2, 3], "<u2")) + records.END
     number, ids, stop = records.parse(good)
@@ -349,6 +362,40 @@ def test_secrets_of_odd_documents(spark):
     assert secrets.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_frequent_words_of_all_texts(spark):
+    docs = spark.createDataFrame([(1, "Zebra zebra été ZEBRA of"), (2, None), (3, "été, ab zebras! zebras"), (4, "x" * 40)], "doc_id long, text string")
+    assert secrets.frequent_words(docs) == ["zebra", "zebras", "été"]
+
+
+# --- names ------------------------------------------------------------------------
+
+HELPERS = ["_text", "_all", "_copies", "_copy", "_r1", "_r2", "_doc", "_row", "_spans", "_items", "dropped", "r1", "r2", "record", "copies", "copy", "all", "c0", "c1", "row", "a.b"]
+
+
+def test_no_column_name_clashes(spark):
+    from holdfast.llm import jaccard_join, line_dedup
+
+    rows = [(1, "one two three four five six\nsecond line of it", "en", "s"), (2, None, "de", "t"), (3, "a b c d e f g h i j k", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({name: F.lit(name) for name in HELPERS})
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    items = spark.createDataFrame([("i", "a b c d e f g h i j")], "item_id string, text string")
+    ways = {
+        "leaks": lambda: decontaminate.find_leaks(docs, items),
+        "secrets": lambda: secrets.find_secrets(docs),
+        "quality": lambda: quality.score_quality(docs, labels),
+        "copies": lambda: jaccard_join.keep_one(docs),
+        "mix": lambda: mixing.mixed_documents(docs, mixing.Target(max_repeats=1)),
+        "lines": lambda: line_dedup.drop_repeated_lines(docs),
+    }
+    want = sorted(map(repr, docs.collect()))
+    for name, way in ways.items():
+        got = way()
+        assert got.columns[: len(docs.columns)] == docs.columns, name
+        assert sorted(map(repr, got.select(*[f"`{c}`" for c in docs.columns]).collect())) == want, name
+    assert ways["leaks"]().where("contaminated").select("doc_id").collect()[0][0] == 3
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 
