@@ -20,6 +20,7 @@ from holdfast.sources.tables import stage
 
 # Bins of a group; no bin holds much more than this share of its distinct values.
 BINS = 64
+STEP = 8
 
 # The percentiles of a distribution summary.
 SUMMARY_PERCENTILES = {
@@ -75,9 +76,15 @@ def with_bins(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("value", shares, 20 * BINS).alias("cuts")
     )
-    return null_safe_join(counts, cuts, keys).select(
-        *keys, "value", "n", F.expr("size(filter(cuts, c -> c < value))").alias("bin")
+    # Every STEP-th cut first, then those between two of them: a value meets few of the cuts.
+    coarse = F.expr(f"filter(cuts, (c, i) -> i % {STEP} = {STEP - 1})")
+    # Staged, its size is known (a row a group): a few groups are broadcast, and the counts stay where they are.
+    cuts = stage(cuts.select(*keys, "cuts", coarse.alias("coarse")), "cuts")
+    placed = null_safe_join(counts, cuts, keys).withColumn(
+        "above", F.expr(f"{STEP} * size(filter(coarse, c -> c < value))")
     )
+    within = F.expr(f"size(filter(slice(cuts, above + 1, {STEP - 1}), c -> c < value))")
+    return placed.select(*keys, "value", "n", (F.col("above") + within).alias("bin"))
 
 
 def _bin_starts(binned: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -129,6 +136,7 @@ def order_statistics(
         .select(*keys, "bin", "bin_start", F.expr(f"filter({ranks}, {in_bin})").alias("wanted"))
         .where("size(wanted) > 0")
     )
+    targets = stage(targets, "targets")  # a few rows a group: its known size lets the counts stay where they are
     # Two entries per probability, so the per-group map has a fixed size.
     hits = F.expr("filter(wanted, w -> w.rank >= stop - n and w.rank < stop)")
     ranked = _stops(binned, targets, keys).select(*keys, "value", F.explode(hits).alias("w"))
