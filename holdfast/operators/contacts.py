@@ -6,44 +6,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import labels
-from holdfast.operators.outcome import PAIR, _anchors, days_of_calls
+from holdfast.operators.outcome import PAIR, ContactDays, _anchors, days_of_calls, days_of_visits
 
 
-def call_days(linked: DataFrame, calls: DataFrame) -> DataFrame:
-    """Distinct call days on or after the email date."""
-    days = days_of_calls(linked, calls)
+def _after_email(linked: DataFrame, days: DataFrame, on: str | list[str]) -> DataFrame:
     return (
         _anchors(linked)
-        .join(days, PAIR)
+        .join(days, on)
         .where(F.col("event_date") >= F.col("first_email"))
         .select(*PAIR, "event_date")
     )
 
 
+def call_days(linked: DataFrame, calls: DataFrame) -> DataFrame:
+    """Distinct call days on or after the email date."""
+    return _after_email(linked, days_of_calls(linked, calls), PAIR)
+
+
 def page_days(linked: DataFrame, online: DataFrame) -> DataFrame:
     """Distinct cancel-page days on or after the email date."""
-    days = (
-        online.where(F.col("entered_acc_mng") == 1)
-        .join(linked.select("id_subscrip").distinct(), "id_subscrip", "left_semi")
-        .select("id_subscrip", "event_date")
-        .distinct()
-    )
-    return (
-        _anchors(linked)
-        .join(days, "id_subscrip")
-        .where(F.col("event_date") >= F.col("first_email"))
-        .select(*PAIR, "event_date")
-    )
+    opened = online.where(F.col("entered_acc_mng") == 1)
+    return _after_email(linked, days_of_visits(linked, opened), "id_subscrip")
 
 
 def contact_events(linked: DataFrame, calls: DataFrame, online: DataFrame) -> DataFrame:
     """Both contact kinds, tagged. Each side is distinct already."""
-    return (
-        call_days(linked, calls)
-        .withColumn("event_type", F.lit("Called In"))
-        .unionByName(
-            page_days(linked, online).withColumn("event_type", F.lit("Opened Cancel Page"))
-        )
+    opened = online.where(F.col("entered_acc_mng") == 1)
+    return events_of_days(linked, ContactDays(days_of_calls(linked, calls), days_of_visits(linked, opened)))
+
+
+def events_of_days(linked: DataFrame, days: ContactDays) -> DataFrame:
+    """`contact_events` from days of contact."""
+    called = _after_email(linked, days.calls, PAIR)
+    opened = _after_email(linked, days.visits.where(F.col("opened") == 1), "id_subscrip")
+    return called.withColumn("event_type", F.lit("Called In")).unionByName(
+        opened.withColumn("event_type", F.lit("Opened Cancel Page"))
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from holdfast.functions import labels
 from holdfast.functions.dates import FILE_DATE_OVERRIDES, email_date, inference_date
 from holdfast.functions.keys import account_key
+from holdfast.operators.reduction import restrict
 from holdfast.sources.cohort import BILLING_SYSTEM
 from holdfast.sources.tables import stage
 
@@ -82,19 +84,40 @@ def _anchors(linked: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class ContactDays:
+    """Calls and visits of the assigned accounts, reduced to days; outcome and history both read them."""
+
+    calls: DataFrame
+    visits: DataFrame
+
+
 def days_of_calls(linked: DataFrame, calls: DataFrame) -> DataFrame:
     """Call days of the assigned accounts, and whether a call of the day was unsaved.
 
     Calls of other accounts go before anything is shuffled by day.
     """
-    own = calls.withColumn("billing_account", account_key("Account")).join(
-        linked.select("billing_account").distinct(), "billing_account", "left_semi"
-    )
+    own = restrict(calls.withColumn("billing_account", account_key("Account")), linked, "billing_account")
     return own.groupBy(
         "billing_account", F.col("idSubscrip").alias("id_subscrip"), "event_date"
     ).agg(F.max(F.when(F.col("Saves__Digital_to_Digital_") == 0, 1).otherwise(0)).alias("unsaved"))
 
 
+def days_of_visits(linked: DataFrame, online: DataFrame) -> DataFrame:
+    """Days on which an assigned subscription opened the cancel page or confirmed a cancel, and which of both."""
+    either = online.where((F.col("entered_acc_mng") == 1) | (F.col("confirmed_cancel") == 1))
+    return restrict(either, linked, "id_subscrip").groupBy("id_subscrip", "event_date").agg(
+        F.max("entered_acc_mng").alias("opened"), F.max("confirmed_cancel").alias("confirmed")
+    )
+
+
+def contact_days(linked: DataFrame, calls: DataFrame, online: DataFrame) -> ContactDays:
+    """Both, as tables: each source is scanned once however many steps read its days."""
+    return ContactDays(
+        stage(days_of_calls(linked, calls), "call_days"), stage(days_of_visits(linked, online), "visit_days")
+    )
+
+
 def first_calls(
     linked: DataFrame, calls: DataFrame, strict_subscription: bool = False
 ) -> DataFrame:
@@ -107,6 +130,13 @@ def first_calls(
     days = days_of_calls(linked, calls)
     if not strict_subscription:
         days = stage(days, "call_days")  # read for the account and for the subscription
+    return first_call_days(linked, days, strict_subscription)
+
+
+def first_call_days(
+    linked: DataFrame, days: DataFrame, strict_subscription: bool = False
+) -> DataFrame:
+    """`first_calls` from the days of `days_of_calls`."""
     called = (
         _anchors(linked)
         .join(days, PAIR)
@@ -136,15 +166,11 @@ def first_calls(
 
 def first_online(linked: DataFrame, online: DataFrame) -> DataFrame:
     """First cancel-page visit and first confirmed cancel on or after the email date."""
-    days = (
-        online.where((F.col("entered_acc_mng") == 1) | (F.col("confirmed_cancel") == 1))
-        .join(linked.select("id_subscrip").distinct(), "id_subscrip", "left_semi")
-        .groupBy("id_subscrip", "event_date")
-        .agg(
-            F.max("entered_acc_mng").alias("opened"),
-            F.max("confirmed_cancel").alias("confirmed"),
-        )
-    )
+    return first_visit_days(linked, days_of_visits(linked, online))
+
+
+def first_visit_days(linked: DataFrame, days: DataFrame) -> DataFrame:
+    """`first_online` from the days of `days_of_visits`."""
     return (
         _anchors(linked)
         .join(days, "id_subscrip")
@@ -201,8 +227,16 @@ def assemble(
     strict_subscription: bool = False,
 ) -> DataFrame:
     """Assignments with contact, cancel and stop facts, flags defaulted to 0."""
-    contacts = linked.join(first_calls(linked, calls, strict_subscription), PAIR, "left").join(
-        first_online(linked, online), PAIR, "left"
+    days = contact_days(linked, calls, online)
+    return assemble_days(linked, days, start_stop, strict_subscription)
+
+
+def assemble_days(
+    linked: DataFrame, days: ContactDays, start_stop: DataFrame, strict_subscription: bool = False
+) -> DataFrame:
+    """`assemble` from days of contact."""
+    contacts = linked.join(first_call_days(linked, days.calls, strict_subscription), PAIR, "left").join(
+        first_visit_days(linked, days.visits), PAIR, "left"
     )
     return (
         attach_stops(contacts, start_stop)

@@ -12,6 +12,7 @@ from holdfast.functions import labels
 from holdfast.functions.dates import EXPERIMENT_START
 from holdfast.functions.keys import account_key, null_safe_join
 from holdfast.operators.outcome import PAIR
+from holdfast.operators.reduction import restrict
 
 STRATEGY = ["cohort", "Treatment"]
 TERMS = ["churned", "offered_rate", "new_rate", "pricing_effective_date", "__earlist_contact_date"]
@@ -64,7 +65,7 @@ def qualifying_payments(
     sum. The columns `by` of the population stay.
     """
     contacted = population.where(F.col("__earlist_contact_date").isNotNull())
-    own = facts.join(contacted.select(*PAIR).distinct(), PAIR, "left_semi")
+    own = restrict(facts, contacted, PAIR)
     daily = own.groupBy(*PAIR, "id_payment_date", "billing_amount").agg(
         F.count(F.lit(1)).alias("payments")
     )

@@ -39,11 +39,20 @@ def linked_assignments(
     return stage(outcome.link_subscriptions(assigned, t.link, t.weekly_source), "linked")
 
 
+def contact_days(t: ExperimentTables, linked: DataFrame) -> outcome.ContactDays:
+    """Calls and visits as days; hand them to `outcomes` and `contact_history` so that both scan them once."""
+    return outcome.contact_days(linked, t.calls, t.online)
+
+
 def outcomes(
-    t: ExperimentTables, linked: DataFrame, strict_subscription: bool = False
+    t: ExperimentTables,
+    linked: DataFrame,
+    strict_subscription: bool = False,
+    days: outcome.ContactDays | None = None,
 ) -> DataFrame:
     """The outcome table, read by revenue, history, rates and journey."""
-    base = outcome.assemble(linked, t.calls, t.online, t.start_stop, strict_subscription)
+    days = days or contact_days(t, linked)
+    base = outcome.assemble_days(linked, days, t.start_stop, strict_subscription)
     classified = outcome.classify(outcome.derive_contacts(base))
     return stage(
         outcome.attach_behaviour(classified, t.weekly_source, t.metrics), "outcomes"
@@ -57,8 +66,12 @@ def revenue_outcomes(
 
 
 def contact_history(
-    t: ExperimentTables, linked: DataFrame, outcome_rows: DataFrame, ordered: bool = True
+    t: ExperimentTables,
+    linked: DataFrame,
+    outcome_rows: DataFrame,
+    ordered: bool = True,
+    days: outcome.ContactDays | None = None,
 ) -> DataFrame:
-    events = contacts.contact_events(linked, t.calls, t.online)
+    events = contacts.events_of_days(linked, days or contact_days(t, linked))
     steps = contacts.contact_steps(contacts.contact_sequence(events))
     return contacts.contact_history(outcome_rows, steps, ordered)

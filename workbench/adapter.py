@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from holdfast.functions.dates import inference_date
 from holdfast.operators.population import label_population, subset
 from holdfast.operators.profile import population_counts
-from holdfast.plans.experiment import ExperimentTables, linked_assignments, outcomes
+from holdfast.operators.outcome import ContactDays
+from holdfast.plans.experiment import ExperimentTables, contact_days, linked_assignments, outcomes
 from holdfast.sources.tables import stage
 
 OVERRIDES = {dt.date(2024, 1, 17): dt.date(2024, 1, 7)}
@@ -318,7 +319,11 @@ class Views:
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        return outcomes(self.tables, self.linked)
+        return outcomes(self.tables, self.linked, days=self.days)
+
+    @cached_property
+    def days(self) -> ContactDays:
+        return contact_days(self.tables, self.linked)
 
     @cached_property
     def run_log(self) -> DataFrame:

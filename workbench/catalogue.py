@@ -469,7 +469,7 @@ def _linked(v: Views) -> DataFrame:
 
 
 def _base(v: Views) -> DataFrame:
-    return outcome.assemble(_linked(v), v.calls, v.online, v.start_stop)
+    return outcome.assemble_days(_linked(v), v.days, v.start_stop)
 
 
 def _classified(v: Views) -> DataFrame:
@@ -728,7 +728,7 @@ def c6_contact_steps(v: Views) -> DataFrame:
 
 @query
 def c7_contact_history(v: Views) -> DataFrame:
-    history = experiment.contact_history(v.tables, _linked(v), _outcomes(v))
+    history = experiment.contact_history(v.tables, _linked(v), _outcomes(v), days=v.days)
     return printable_ints(tidy(_printable(history)), "churned")
 
 
