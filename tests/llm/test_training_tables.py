@@ -330,6 +330,68 @@ def test_neighbours_are_exact_distances_and_mostly_the_nearest(spark):
     assert [(r["query_id"], r["rank"]) for r in sorted(few, key=lambda r: r["rank"])] == [(0, 1), (0, 2), (0, 3)]
 
 
+def _effort(spark, monkeypatch, x, every, **options):
+    """The result, and the effort that was measured for it."""
+    seen = []
+    measure = rp_forest.needed_search
+    monkeypatch.setattr(rp_forest, "needed_search", lambda *a: seen.append(measure(*a)) or seen[-1])
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = rp_forest.nearest_neighbours(table, every=every, search=1, **options).collect()
+    monkeypatch.setattr(rp_forest, "needed_search", measure)
+    return got, seen[0]
+
+
+def _recall(got, x, every):
+    hits = total = 0
+    for query in range(0, len(x), every):
+        distance = np.sqrt(((x - x[query]) ** 2).sum(1))
+        distance[query] = np.inf
+        hits += len(set(np.argsort(distance)[:10].tolist()) & {r["vec_id"] for r in got if r["query_id"] == query})
+        total += 10
+    return hits / total
+
+
+def test_the_effort_follows_the_vectors_and_not_their_number(spark, monkeypatch):
+    """Clusters need a few leaves at any size; vectors without structure need a share of the table."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(160, 24)) * 20
+    found = {}
+    for copies in (20, 80):
+        x = np.repeat(centres, copies, axis=0)
+        x = (x + rng.normal(size=x.shape) * 0.05)[rng.permutation(len(x))]
+        got, found[copies] = _effort(spark, monkeypatch, x, len(x) // 40)
+        assert _recall(got, x, len(x) // 40) >= 0.9
+    assert found[80] < 0.05 * 16 * 80 * 160 and found[80] < 4 * found[20] + 16 * 64
+    loose = rng.normal(size=(4000, 24))
+    got, effort = _effort(spark, monkeypatch, loose, 50)
+    assert effort > 1000 and _recall(got, loose, 50) >= 0.9
+
+
+def test_the_effort_is_the_least_that_meets_a_vector():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 8))
+    trees = [rp_forest.grow(x, 16, rng) for _ in range(4)]
+    leaves = [t.leaf_of(x) for t in trees]
+    sizes = [np.bincount(own, minlength=t.leaves) for own, t in zip(leaves, trees, strict=True)]
+    for query in range(5):
+        for wanted in range(100, 120):
+            (need,) = rp_forest.efforts(trees, sizes, x[query], x[wanted : wanted + 1])
+
+            def met(search, query=query, wanted=wanted):
+                return any(leaves[k][wanted] == leaf for k, leaf in rp_forest.visit(trees, sizes, x[query], search))
+
+            assert met(need) and not met(need - 1)
+
+
+def test_a_vector_held_by_a_third_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(rp_forest, "SALTS", 5)
+    rows = [(i, [1.0, 1.0] if i % 3 == 0 else [float(i), 2.0], 0) for i in range(900)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(7)
+    got = rp_forest.nearest_neighbours(table).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 300) == [(k, 3 * (k - 1)) for k in range(1, 11)]
+    assert sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == 0) == [(k, 3 * k) for k in range(1, 11)]
+
+
 def test_large_leaves_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(rp_forest, "CELL", 7)
     rows = [(i, [float(i % 50), 1.0], 0) for i in range(400)]
