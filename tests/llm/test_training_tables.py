@@ -383,6 +383,14 @@ def test_the_effort_is_the_least_that_meets_a_vector():
             assert met(need) and not met(need - 1)
 
 
+def test_the_best_of_many_cells():
+    some = (np.array([1, 2, 1, 1]), np.array([5, 5, 7, 6]), np.array([0.5, 0.1, 0.2, 0.2]))
+    more = (np.array([1, 2]), np.array([5, 5]), np.array([0.1, 0.1]))
+    query, own, score = rp_forest._best([some, more], 2)
+    assert list(zip(query.tolist(), own.tolist(), score.tolist(), strict=True)) == [(1, 5, 0.1), (1, 6, 0.2), (2, 5, 0.1)]
+    assert not len(rp_forest._best([tuple(v[:0] for v in some)], 2)[0])
+
+
 def test_a_vector_held_by_a_third_of_the_rows(spark, monkeypatch):
     monkeypatch.setattr(rp_forest, "SALTS", 5)
     rows = [(i, [1.0, 1.0] if i % 3 == 0 else [float(i), 2.0], 0) for i in range(900)]
@@ -394,6 +402,7 @@ def test_a_vector_held_by_a_third_of_the_rows(spark, monkeypatch):
 
 def test_large_leaves_are_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(rp_forest, "CELL", 7)
+    monkeypatch.setattr(rp_forest, "HELD", 30)  # tasks hand on what they hold many times
     rows = [(i, [float(i % 50), 1.0], 0) for i in range(400)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = rp_forest.nearest_neighbours(table).collect()
