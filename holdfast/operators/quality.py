@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 DEVIATION_THRESHOLD = 0.10
 
 
+def is_missing(name: str, kind: str) -> Column:
+    """NULL, or NaN where the type has it."""
+    col = F.col(f"`{name}`")
+    return col.isNull() | F.isnan(col) if kind in ("float", "double") else col.isNull()
+
+
 def table_measures(df: DataFrame) -> DataFrame:
     """Row count and null percentage over all cells, in one pass; NaN is missing too."""
     nulls = " + ".join(

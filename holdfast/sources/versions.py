@@ -47,7 +47,7 @@ def _part(field: str | None, day: dt.date | None) -> str:
     return WHOLE if field is None else f"{field}={day.isoformat()}"
 
 
-def _day(part: str, field: str) -> dt.date | None:
+def day_of(part: str, field: str) -> dt.date | None:
     name, _, value = part.partition("=")
     return dt.date.fromisoformat(value) if name == field else None
 
@@ -133,7 +133,7 @@ def read(
 def latest(spark: SparkSession, table: str, field: str) -> dt.date | None:
     """The newest day whose published version has rows."""
     found = current(spark, table, f"{field}=*").values()
-    return max((_day(p.part, field) for p in found if p.rows), default=None)
+    return max((day_of(p.part, field) for p in found if p.rows), default=None)
 
 
 def schema_of(spark: SparkSession, table: str) -> StructType:
@@ -151,6 +151,19 @@ def roll_back(spark: SparkSession, table: str, field: str | None, day: dt.date |
     publish(spark, table, Publication(part, known[-1].order + 1, run, back[-1].rows))
 
 
+def bring_back(df: DataFrame, table: str, field: str, day: dt.date, run: str) -> None:
+    """Make run `run` the one that counts for the day: publish it again if it was published, or else write `df` as it."""
+    part = _part(field, day)
+    spark = df.sparkSession
+    known = publications(spark, table, part)
+    if known and known[-1].run == run:
+        return
+    if any(p.run == run for p in known):
+        roll_back(spark, table, field, day, run)
+    else:
+        replace_partition(df, table, field, day, run)
+
+
 def vacuum(spark: SparkSession, table: str, keep: int = 1, older_than: dt.timedelta = dt.timedelta(days=7)) -> int:
     """Delete version folders that are not among the last `keep` publications of their part and were last
     changed before `older_than`, so neither readers nor running writers lose theirs. Returns how many."""

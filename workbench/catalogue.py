@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from holdfast.functions import dates, keys, labels, scores
 from holdfast.operators import (
@@ -19,6 +20,7 @@ from holdfast.operators import (
     population,
     profile,
     quality,
+    quality_state,
     quantiles,
     rates,
     revenue,
@@ -835,6 +837,32 @@ def q6_key_contract(v: Views) -> DataFrame:
     return quality.key_violations(v.events, "user_id")
 
 
+def _measured_weeks(v: Views) -> tuple[StructType, str]:
+    """Events by week with their quality state; then the first week is replaced, and only it is measured again."""
+    base = scratch_path(v.spark, "q_state")
+    weeks = stage(v.events.withColumn("week", F.trunc("event_date", "week")), "weeks")
+    days = [r["week"] for r in weeks.select("week").distinct().orderBy("week").collect()]  # a row a week
+    for day in days:
+        versions.replace_partition(weeks.where(F.col("week") == F.lit(day)), f"{base}/table", "week", day, "load")
+    quality_state.refresh(v.spark, f"{base}/table", weeks.schema, "week", f"{base}/state", ["user_id"])
+    kept = weeks.where(F.col("week") == F.lit(days[0])).where("event_id % 2 = 0")
+    versions.replace_partition(kept, f"{base}/table", "week", days[0], "again")
+    quality_state.refresh(v.spark, f"{base}/table", weeks.schema, "week", f"{base}/state", ["user_id"])
+    return weeks.schema, f"{base}/state"
+
+
+@query
+def q1_merged_measures(v: Views) -> DataFrame:
+    schema, state = _measured_weeks(v)
+    return tidy(quality_state.merged_measures(v.spark, schema, "week", state), 6)
+
+
+@query
+def q6_merged_key_contract(v: Views) -> DataFrame:
+    schema, state = _measured_weeks(v)
+    return quality_state.merged_violations(v.spark, schema, "week", state, ["user_id"])
+
+
 @query
 def q7_metric_coverage(v: Views) -> DataFrame:
     return quality.metric_coverage(v.analysis, METRICS)

@@ -688,6 +688,13 @@ ORACLE["q5_assessment_record"] = """
        where row_count is not null group by 1) b on b.sql_file = c.sql_file"""
 ORACLE["q6_key_contract"] = """
     select user_id, count(*) as rows from v_events group by 1 having count(*) > 1 or user_id is null"""
+_MERGED = """(select *, date_trunc('week', event_date) as week from v_events where event_id % 2 = 0
+    or date_trunc('week', event_date) > (select min(date_trunc('week', event_date)) from v_events))"""
+ORACLE["q1_merged_measures"] = f"""
+    select count(*) as row_count, round((6 * count(*) - count(event_id) - count(user_id) - count(event_type)
+      - count(event_date) - count(k) - count(week)) * 100.0 / (6 * count(*)), 6) as null_percentage from {_MERGED}"""
+ORACLE["q6_merged_key_contract"] = f"""
+    select user_id, cast(count(*) as bigint) as rows from {_MERGED} group by 1 having count(*) > 1 or user_id is null"""
 ORACLE["q7_metric_coverage"] = " union all ".join(
     f"select '{m}' as metric, count(*) as rows, count({m}) as non_null from v_analysis" for m in METRICS
 )
