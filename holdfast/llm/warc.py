@@ -5,9 +5,12 @@ WARC record: small payloads as a single `response`, larger ones as a segmented r
 followed by `continuation` records (WARC 1.1, section 7). Nothing from there on holds a payload of
 many chunks whole: the writer and the reader carry a SHA-1 state from chunk to chunk.
 
-Spark's text writer puts the bytes down, one chunk a row, with the two line ends that close a WARC
-record as its line end, so archives are committed with the job and may lie in any store. Each archive
-is one gzip stream.
+Every WARC record is a gzip member of its own, so a reader can start at any of them and holds one record
+at a time. Spark's text writer puts the members down, one a row; its line end is an empty gzip member,
+which adds nothing to the stream. So archives are committed with the job and may lie in any store.
+
+Record ids come from page_id, payload digest and, where a page stands there more than once, its number: a
+task that is run again writes the same ids, and WARC-Refers-To names the id of the archived response.
 """
 
 from __future__ import annotations
@@ -15,11 +18,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.sources.tables import scratch_path, stage
@@ -27,6 +30,12 @@ from holdfast.sources.tables import scratch_path, stage
 END = "\r\n\r\n"
 #: Bytes of a chunk, and chunks of an archive file.
 CHUNK, CHUNKS_PER_FILE = 1 << 18, 512
+#: A payload of more rows than this, and than a thousandth of all, is hot: at most 1,000 are.
+HOT_ROWS = 1000
+#: Most bytes of a record around its block.
+HEAD = 1 << 20
+#: The gzip member of no bytes that ends each line of an archive.
+EMPTY = gzip.compress(b"", mtime=0)
 
 _DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 _CHUNK_ROWS = (
@@ -44,7 +53,8 @@ def decide(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     Of pages with equal payloads (SHA-1 and length) of at least `min_bytes`, those with the smallest
     page_id are responses and the rest revisit it. Rows that repeat that page_id are responses too;
-    a null page_id is larger than any other.
+    a null page_id is larger than any other. `copy` numbers the rows that share page_id and payload (in
+    one sort, which spills). Payloads are shuffled once, those of hot groups only with their responses.
     """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(
@@ -52,11 +62,32 @@ def decide(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         payload.alias("payload"),
     ).withColumns({"size": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload")})
-    first = rows.groupBy("sha1", "size").agg(F.min("page_id").alias("first"))
-    joined = rows.join(first, ["sha1", "size"])
+    key = ["sha1", "size", "spread"]
+    sums = rows.groupBy("sha1", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    payloads = stage(sums, "warc_payloads")
+    total = payloads.agg(F.sum("n")).first()[0] or 0
+    hot = payloads.where(F.col("n") > max(HOT_ROWS, total // 1000))
+    # Rows of hot payloads learn their decision before the shuffle, leave the payload behind if they
+    # revisit, and are dealt by page.
+    known = rows.join(F.broadcast(hot.select("sha1", "size", F.struct("first").alias("hot"))), ["sha1", "size"], "left")
+    revisits = F.col("hot").isNotNull() & (F.col("size") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("hot.first"))
+    dealt = known.withColumns(
+        {
+            "payload": F.when(~revisits, F.col("payload")).otherwise(F.lit(b"")),
+            "spread": F.when(F.col("hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("page_id"), F.lit(1 << 20))),
+        }
+    )
+    firsts = payloads.select("sha1", "size", F.lit(0).cast("long").alias("spread"), F.col("first").alias("found"))
+    joined = dealt.join(firsts, key, "left").withColumn(
+        "first", F.when(F.col("hot").isNull(), F.col("found")).otherwise(F.col("hot.first"))
+    )
     response = (F.col("size") < min_bytes) | F.col("page_id").eqNullSafe(F.col("first"))
     return joined.withColumns(
-        {"response": response, "payload": F.when(response, F.col("payload")).otherwise(F.lit(b""))}
+        {
+            "response": response,
+            "payload": F.when(response, F.col("payload")).otherwise(F.lit(b"")),
+            "copy": F.row_number().over(Window.partitionBy(*key, "page_id").orderBy("url")),
+        }
     )
 
 
@@ -68,7 +99,7 @@ def chunk_rows(decided: DataFrame) -> DataFrame:
         decided.withColumn("last", last)
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("last"))))
         .withColumn("data", F.substring("payload", F.col("chunk") * CHUNK + 1, F.lit(CHUNK)))
-        .select("page_id", "url", "sha1", "size", "first", "response", "chunk", "last", "data")
+        .select("page_id", "url", "sha1", "size", "first", "copy", "response", "chunk", "last", "data")
     )
 
 
@@ -76,15 +107,20 @@ def _name(page_id: int | None) -> str:
     return "none" if page_id is None else str(page_id)
 
 
+def record_id(page_id: int | None, sha1: str, copy: int = 1) -> str:
+    """The id of a page's record, of its first segment if it has several."""
+    return f"urn:page:{_name(page_id)}:{sha1}" + (f":{copy}" if copy > 1 else "")
+
+
 def _render(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, number, running = TaskContext.get().partitionId(), 0, hashlib.sha1()
+    running = hashlib.sha1()
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
             chunk, last, data = row["chunk"], row["last"], row["data"]
             if chunk == 0:
-                number, running = number + 1, hashlib.sha1()
-                own = f"urn:page:{_name(row['page_id'])}:{task}-{number}"
+                running = hashlib.sha1()
+            own = record_id(row["page_id"], row["sha1"], row["copy"])
             running.update(data)
             full = bytes.fromhex(row["sha1"])
             if row["response"] and chunk == last and running.digest() != full:
@@ -92,7 +128,7 @@ def _render(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = [
                 "WARC/1.1",
                 f"WARC-Type: {'revisit' if not row['response'] else 'continuation' if chunk else 'response'}",
-                f"WARC-Record-ID: <{own}{f':{chunk}' if chunk else ''}>",
+                f"WARC-Record-ID: <{own}{f'/{chunk}' if chunk else ''}>",
                 f"WARC-Date: {_DATE}",
                 f"WARC-Payload-Digest: sha1:{_base32(full)}",
                 f"WARC-Block-Digest: sha1:{_base32(hashlib.sha1(data).digest())}",
@@ -106,7 +142,7 @@ def _render(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not row["response"]:
                 head += [
                     "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                    f"WARC-Refers-To: <urn:page:{_name(row['first'])}>",
+                    f"WARC-Refers-To: <{record_id(row['first'], row['sha1'])}>",
                     f"Payload-Length: {row['size']}",
                 ]
             if last:
@@ -115,7 +151,8 @@ def _render(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     head.append(f"WARC-Segment-Origin-ID: <{own}>")
                 if chunk == last:
                     head.append(f"WARC-Segment-Total-Length: {row['size']}")
-            rows.append("\r\n".join(head).encode() + END.encode() + data)
+            record = b"".join(("\r\n".join(head).encode(), END.encode(), data, END.encode()))
+            rows.append(gzip.compress(record, 6, mtime=0))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["record"])
 
 
@@ -124,9 +161,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     records = chunk_rows(decide(pages, min_bytes)).mapInArrow(_render, "record binary")
     (
         records.select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", END)
+        .write.option("encoding", "ISO-8859-1")  # of the line end; the rows are bytes already
+        .option("lineSep", EMPTY.decode("latin-1"))
         .option("maxRecordsPerFile", CHUNKS_PER_FILE)
-        .option("compression", "gzip")
         .text(path)
     )
 
@@ -153,6 +190,29 @@ def _record(view: memoryview, at: int) -> tuple[dict[str, str], memoryview, int]
     return fields, block, upto + len(END)
 
 
+def _members(data: memoryview) -> Iterator[bytes]:
+    """What each gzip member holds, one at a time, with empty ones left out."""
+    at = 0
+    while at < len(data):
+        if data[at : at + len(EMPTY)] == EMPTY:
+            at += len(EMPTY)
+            continue
+        start, held, inflate = at, bytearray(), zlib.decompressobj(31)
+        while not inflate.eof:
+            piece = data[at : at + 8192]
+            if not len(piece):
+                raise ValueError(f"the gzip member at byte {start} is cut off")
+            at += len(piece)
+            held += inflate.decompress(piece, CHUNK + HEAD - len(held) + 1)
+            if len(held) > CHUNK + HEAD:
+                raise ValueError(f"the gzip member at byte {start} holds more than a chunk")
+            if inflate.unconsumed_tail:
+                at -= len(inflate.unconsumed_tail)
+        at -= len(inflate.unused_data)
+        if held:
+            yield bytes(held)
+
+
 def _page(name: str) -> int | None:
     return None if name == "none" else int(name)
 
@@ -162,9 +222,11 @@ def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
     for batch in batches:
         for content in batch.column("content"):
-            view, at, rows, held = memoryview(gzip.decompress(content.as_buffer())), 0, [], 0
-            while at < len(view):
-                fields, block, at = _record(view, at)
+            rows, held = [], 0
+            for member in _members(memoryview(content.as_buffer())):
+                fields, block, upto = _record(memoryview(member), 0)
+                if upto != len(member):
+                    raise ValueError(f"{fields['WARC-Record-ID']} isn't alone in its gzip member")
                 origin = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"])
                 revisit, segment = fields["WARC-Type"] == "revisit", int(fields.get("WARC-Segment-Number", 0))
                 # Only parts of a segmented payload travel on; of others the digest is known here.
@@ -173,7 +235,7 @@ def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         origin,
                         _page(fields["Page-ID"]),
                         "revisit" if revisit else "response",
-                        _page(fields["WARC-Refers-To"][1:-1].rsplit(":", 1)[1]) if revisit else None,
+                        _page(fields["WARC-Refers-To"].split(":")[2]) if revisit else None,
                         segment,
                         not segment or "WARC-Segment-Total-Length" in fields,
                         int(fields["Payload-Length"]) if revisit else len(block),

@@ -1,6 +1,7 @@
 """Records, archives, ledger, mix, leaks, quality, neighbours, secrets and the pipeline on small tables."""
 
 import base64
+import gzip
 import hashlib
 import math
 import random
@@ -107,12 +108,42 @@ def test_archives_round_trip_in_segments(spark, monkeypatch):
             out.append((p, len(body), digest, "response" if response else "revisit", None if response else first))
         return sorted(out, key=repr)
 
-    for least in (0, 4):
+    for least, hot in ((0, 1000), (4, 1000), (0, 1), (4, 1)):
+        monkeypatch.setattr(warc, "HOT_ROWS", hot)
         got = [tuple(r) for r in warc.archive_pages(pages, least).collect()]
         assert sorted(got, key=repr) == expected(least)
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_archive_ids_are_unique_stable_and_resolved(spark, tmp_path):
+    """Read by Python's own gzip: ids differ, do not change with another run, and each reference has its response."""
+    rows = [(i, "u", "x" * (i % 7)) for i in range(60)] + [(3, "u", "xxx")] * 3 + [(None, "u", "only none")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for run, parts in enumerate((1, 5)):
+        warc.write_archives(pages.repartition(parts), f"{tmp_path}/{run}")
+        text = b"".join(gzip.decompress(f.read_bytes()) for f in sorted(tmp_path.glob(f"{run}/part-*"))).decode()
+        ids = re.findall(r"WARC-Record-ID: <(.*)>\r", text)
+        kinds = re.findall(r"WARC-Type: (.*)\r", text)
+        responses = {i for i, kind in zip(ids, kinds, strict=True) if kind == "response"}
+        assert len(ids) == len(set(ids)) == len(rows)
+        assert set(re.findall(r"WARC-Refers-To: <(.*)>\r", text)) <= responses
+        found.append(set(ids))
+    assert found[0] == found[1]
+
+
+def test_gzip_members_are_read_one_by_one(monkeypatch):
+    one, two = b"a" * 50_000, bytes(range(256)) * 200
+    data = gzip.compress(one) + warc.EMPTY + warc.EMPTY + gzip.compress(two) + warc.EMPTY
+    assert list(warc._members(memoryview(data))) == [one, two]
+    with pytest.raises(ValueError):
+        list(warc._members(memoryview(data[:-30])))
+    monkeypatch.setattr(warc, "CHUNK", 1000)
+    monkeypatch.setattr(warc, "HEAD", 1000)
+    with pytest.raises(ValueError):
+        list(warc._members(memoryview(data)))
+
+
 # --- ledger -----------------------------------------------------------------------
 
 
