@@ -79,7 +79,8 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY ALL
 """
 
-OP8 = r"""
+#: The word versions of op8; SQL has no byte-level BPE.
+OP8_WORDS = r"""
 WITH copies AS (
     SELECT text, min(doc_id) AS first_id FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) GROUP BY ALL
 ), kept AS (

@@ -67,10 +67,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_count_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from holdfast.llm.token_counts import corpus_totals
+    from public_tokenizers import path
+
+    from holdfast.llm.token_counts import WORDS_1, WORDS_2, Tokenizer, corpus_totals
     from holdfast.sources.tables import scratch_path
 
-    return corpus_totals(_documents(spark, sf_dir), scratch_path(spark, "ledger"))
+    bpe = Tokenizer("byte_bpe_50k@1", path("byte_bpe_50k.json"))
+    return corpus_totals(_documents(spark, sf_dir), scratch_path(spark, "ledger"), bpe, WORDS_1, WORDS_2)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +121,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard_join": oracle.OP1,
         "op4_benchmark_decontamination": oracle.OP4,
-        "op8_token_count_ledger": oracle.OP8,
         "op9_warc_archives": oracle.OP9,
     }

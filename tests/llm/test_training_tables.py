@@ -179,9 +179,70 @@ def test_ledger_counts_retries_once(spark):
 
 
 def test_corpus_totals_of_odd_documents(spark):
-    found = token_counts.corpus_totals(odd_documents(spark).dropDuplicates(["doc_id"]), scratch_path(spark, "ledger"))
-    assert sum(r["docs"] for r in found.collect()) == 2 * 4  # ids 1 and 2 are both empty
-    assert token_counts.corpus_totals(odd_documents(spark).limit(0), scratch_path(spark, "ledger")).count() == 0
+    """Every row counts: without a doc_id, with one that repeats, and whole rows that repeat."""
+    docs = odd_documents(spark).unionByName(
+        spark.createDataFrame([(None, "no number", "en", "b", 9), (4, "no number", None, "en", 9), (4, "two", "en", None, 9), (4, "two", None, "en", 9)], DOCS)
+    )
+    docs = docs.withColumn("record", F.lit("clash")).withColumn("tokens", F.lit(1))
+    rows = [(r["doc_id"], r["text"] or "", r["source"], r["lang"]) for r in docs.collect()]
+    want = {}
+    for doc_id, text, source, lang in rows:
+        if doc_id == min((d for d, t, *_ in rows if t == text and d is not None), default=None):
+            at = want.setdefault((source, lang), [0, 0])
+            at[0], at[1] = at[0] + 1, at[1] + len(re.findall(r"[^\x20\x09-\x0D]+", text))
+    for hot in (1000, 1):
+        token_counts.HOT_ROWS = hot
+        found = token_counts.corpus_totals(docs, scratch_path(spark, "ledger"), token_counts.WORDS_1).collect()
+        assert {(r["source"], r["lang"]): [r["docs"], r["tokens"]] for r in found} == want
+    token_counts.HOT_ROWS = 1000
+    assert token_counts.corpus_totals(docs.limit(0), scratch_path(spark, "ledger")).count() == 0
+
+
+def test_compaction_changes_no_total(spark, monkeypatch):
+    """Random batches against a dictionary, compacted on the way, killed before its marker, vacuumed, and retried."""
+    monkeypatch.setattr(token_counts, "BUCKETS", 4)
+    monkeypatch.setattr(token_counts, "COMPACT_EVERY", 3)
+    rng, held = random.Random(5), {}
+    ledger = token_counts.Ledger(spark, scratch_path(spark, "ledger"))
+
+    def totals():
+        return {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in ledger.totals().collect()}
+
+    def expected():
+        out = {}
+        for source, tokens in held.values():
+            docs, sums = out.get((source, "en", "t"), (0, 0))
+            out[source, "en", "t"] = (docs + 1, sums + tokens)
+        return out
+
+    batches = {}
+    for batch in range(1, 6):
+        rows = []
+        for doc in rng.sample(range(12), 5):
+            op, source, tokens = rng.choice(["insert", "revise", "delete"]), rng.choice("ab"), rng.randint(0, 9)
+            rows.append((op, 0, doc, "t", source, "en", tokens))
+            held.pop(doc, None)
+            if op != "delete":
+                held[doc] = (source, tokens)
+        batches[batch] = spark.createDataFrame(rows, token_counts.CHANGE)
+        assert ledger.commit(batch, batches[batch]) and not ledger.commit(batch, batches[batch])
+        assert totals() == expected()
+    assert ledger.through() == 3 and ledger.committed() == [4, 5]
+
+    # A compaction that ends before its marker isn't seen, and is made again.
+    with monkeypatch.context() as m:
+        m.setattr(token_counts.Ledger, "_sums", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ledger.compact()
+    assert ledger.through() == 3 and totals() == expected()
+    assert ledger.compact() == 5 and ledger.compact() == 5 and ledger.committed() == []
+    ledger.vacuum()
+    assert totals() == expected()
+    assert not any(ledger.commit(b, batches[b]) for b in batches)
+    assert ledger._state(5, []).count() == len(held)
+    with pytest.raises(ValueError):
+        ledger.commit(0, batches[1])
+    assert ledger.commit(9, batches[1].limit(0)) and totals() == expected()
 
 
 # --- mix --------------------------------------------------------------------------
