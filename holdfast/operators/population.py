@@ -87,7 +87,11 @@ def funnel(labelled: DataFrame) -> DataFrame:
         .groupBy(ACCOUNT)
         .agg(*[F.max(members(name)).alias(name) for _, name in FUNNEL])
     )
-    totals = accounts.agg(*[F.count_if(F.col(name)).alias(name) for _, name in FUNNEL])
+    return funnel_rows(accounts.agg(*[F.count_if(F.col(name)).alias(name) for _, name in FUNNEL]))
+
+
+def funnel_rows(totals: DataFrame) -> DataFrame:
+    """The funnel from one row with the accounts of each population."""
     rows = F.array(
         *[
             F.struct(F.lit(title).alias("population"), F.col(name).alias("accounts"))

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from holdfast.functions import dates, keys, labels, scores
 from holdfast.operators import (
+    account_bitmaps,
     bootstrap,
     cardinality,
     charts,
@@ -916,6 +917,24 @@ def d3_funnel(v: Views) -> DataFrame:
     return tidy(population.funnel(v.labelled))
 
 
+@query
+def d3_funnel_from_daily_bitmaps(v: Views) -> DataFrame:
+    """Accounts are numbered in two runs; bitmaps of days add up to the funnel of all."""
+    path = tables.scratch_path(v.labelled.sparkSession, "account_numbers")
+    account_bitmaps.register_accounts(v.labelled.where(F.dayofmonth("email_date") <= 15), path, 1)
+    numbers = account_bitmaps.register_accounts(v.labelled, path, 2)
+    return tidy(account_bitmaps.funnel_of_bitmaps(account_bitmaps.funnel_bitmaps(v.labelled, numbers, ["email_date"])))
+
+
+@query
+def d6_segment_accounts_from_bitmaps(v: Views) -> DataFrame:
+    """Distinct accounts per segment, rolled up from bitmaps of segments and days."""
+    path = tables.scratch_path(v.labelled.sparkSession, "account_numbers")
+    numbers = account_bitmaps.register_accounts(v.labelled, path, 1)
+    daily = account_bitmaps.account_bitmaps(v.labelled, numbers, ["cohort", "contact_channel_group", "email_date"])
+    return account_bitmaps.distinct_accounts(daily, ["cohort", "contact_channel_group"])
+
+
 @query
 def d4_distribution_summary(v: Views) -> DataFrame:
     return tidy(distribution.distribution_summary(v.labelled, METRICS))

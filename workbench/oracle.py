@@ -732,6 +732,10 @@ ORACLE["d3_funnel"] = " union all ".join(
     for title, rule in _FUNNEL
 )
 ORACLE["s10_export_csv"] = ORACLE["d3_funnel"]
+ORACLE["d3_funnel_from_daily_bitmaps"] = ORACLE["d3_funnel"]
+ORACLE["d6_segment_accounts_from_bitmaps"] = """
+    select cohort, contact_channel_group, count(distinct billing_account) as accounts
+    from v_labelled where billing_account is not null group by all"""
 
 
 def _distribution(source: str, field: str, where: str = "true", extra: str = "", group: str = "") -> str:
