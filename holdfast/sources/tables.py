@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -63,6 +64,33 @@ def staging(spark: SparkSession) -> Iterator[str]:
         _delete(spark, folder)
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: list[str | None] = []
+_freeing_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each query that runs inside are deleted when it ends, not when the driver's
+    garbage collector finds them. Meant for chains of staged tables: a plan that is executed twice
+    would shuffle again.
+
+    Scopes may overlap in threads; the last one to end restores the session's setting.
+    """
+    with _freeing_lock:
+        _freeing.append(_freeing[0] if _freeing else spark.conf.get(_FREE_SHUFFLES, None))
+        spark.conf.set(_FREE_SHUFFLES, True)
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            before = _freeing.pop()
+            if not _freeing and before is None:
+                spark.conf.unset(_FREE_SHUFFLES)
+            elif not _freeing:
+                spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def _path(spark: SparkSession, path: str) -> tuple[Any, Any]:
     """A path of any store Spark reaches, and its file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
