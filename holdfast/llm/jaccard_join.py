@@ -17,7 +17,8 @@
 Buckets of more than BLOCK members are dealt out as pairs of blocks (cells), so no task holds a
 bucket; a text travels once to each cell where it is compared, not once a pair. Before texts are
 fetched, pairs are screened on bitmaps whose length follows the set's size, about four bits a token;
-the trees hold the same bitmaps folded to _BITS, or to _LARGE_BITS among large sets.
+the trees hold the same bitmaps folded to _BITS, or to _LARGE_BITS among large sets. Bitmaps are made
+in the pass that makes the prefixes, so only texts of pairs that pass the screen are ever shuffled.
 Shingles are compared by 64-bit hashes.
 """
 
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
 from holdfast.llm.text import SPACED, mix, texts_shingles
-from holdfast.sources.tables import settle, stage
+from holdfast.operators.reduction import restrict
+from holdfast.sources.tables import settle, shuffles_freed, stage
 
 #: Members of a bucket that one task takes, in one block.
 BLOCK = 512
@@ -101,9 +103,10 @@ def _fingerprint(width: int, num: int, den: int, frequent):
                 heads = [_prefix(s, frequent.value, num, den) if len(s) else s for s in sets]
                 offsets = np.append(0, np.cumsum([len(x) for x in heads])).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _as_long(np.concatenate([np.zeros(0, _U), *heads])))
+                wide = pa.array([bitmap(s).tobytes() if len(s) else b"" for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("r1"), part.column("r2"), _as_long(keys[0]), _as_long(keys[1]), pa.array(sizes, pa.int64()), listed],
-                    ["doc_id", "r1", "r2", "k1", "k2", "n", "prefix"],
+                    [part.column("doc_id"), part.column("r1"), part.column("r2"), _as_long(keys[0]), _as_long(keys[1]), pa.array(sizes, pa.int64()), listed, wide],
+                    ["doc_id", "r1", "r2", "k1", "k2", "n", "prefix", "wide"],
                 )
 
     return run
@@ -158,13 +161,24 @@ def _by_cell(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell", F.col("b").isNotNull())
 
 
+def _texts(own: DataFrame, near: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, text) of the sets in the pairs `near`. Other texts go before anything is shuffled."""
+    cids = near.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = stage(cids.join(classes.select("cid", "rep.r1", "rep.r2"), "cid"), "wanted")
+    found = restrict(own.select("r1", "r2", "text"), wanted, ["r1", "r2"])
+    texts = stage(found.join(wanted, ["r1", "r2"]).select("cid", "text"), "texts")
+    if texts.count() > wanted.count():  # rows that repeat wholly
+        texts = stage(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
+    return texts
+
+
 def _links(
-    pairs: DataFrame, texts: DataFrame, signs: DataFrame, width: int, num: int, den: int
+    pairs: DataFrame, own: DataFrame, classes: DataFrame, signs: DataFrame, width: int, num: int, den: int
 ) -> DataFrame:
     """The pairs (a, b, cell) whose texts link, enough of them to tie all that link."""
     asked = stage(pairs.groupBy("a", "b").agg(F.min("cell").alias("cell")), "asked")
     near = stage(_by_cell(asked, signs, "wide").mapInArrow(_screen(num, den), "a long, b long, cell long"), "near")
-    return _by_cell(near, texts, "text").mapInArrow(_verify(width, num, den), "a long, b long")
+    return _by_cell(near, _texts(own, near, classes), "text").mapInArrow(_verify(width, num, den), "a long, b long")
 
 
 def _fold(bits: np.ndarray, words: int) -> np.ndarray:
@@ -209,20 +223,14 @@ def signature(wide: np.ndarray, n: int) -> np.ndarray:
     return _fold(wide, (_LARGE_BITS if n > _LARGE else _BITS) // 64)
 
 
-def _sign(width: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, sets in texts_shingles(batch, "text", width):
-                wide = [bitmap(s) for s in sets]
-                columns = [
-                    part.column("cid"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([signature(w, len(s)).tobytes() for s, w in zip(sets, wide, strict=True)], pa.binary()),
-                    pa.array([len(s).to_bytes(8, "little") + w.tobytes() for s, w in zip(sets, wide, strict=True)], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "bits", "wide"])
-
-    return run
+def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmap as the trees hold it, and the whole one behind the set's size."""
+    for batch in batches:
+        sizes, bitmaps = batch.column("n").to_pylist(), batch.column("wide").to_pylist()
+        bits = [signature(np.frombuffer(w, _U), n).tobytes() for w, n in zip(bitmaps, sizes, strict=True)]
+        wide = [n.to_bytes(8, "little") + w for w, n in zip(bitmaps, sizes, strict=True)]
+        columns = [batch.column("cid"), batch.column("n"), pa.array(bits, pa.binary()), pa.array(wide, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["cid", "n", "bits", "wide"])
 
 
 class SignatureTree:
@@ -421,32 +429,33 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     the rows of one document of each component; rows that repeat it wholly (r1 and r2 agree, hashes
     of doc_id and text) are marked too. Other columns are ignored.
     """
+    with shuffles_freed(docs.sparkSession):
+        return _link(docs, width, num, den)
+
+
+def _link(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     own = own.select("doc_id", "text", *row_keys("doc_id", "text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(own, width))
-    prints = stage(
-        own.mapInArrow(
-            _fingerprint(width, num, den, frequent),
-            "doc_id long, r1 long, r2 long, k1 long, k2 long, n long, prefix array<long>",
-        ),
-        "prints",
+    prints = own.mapInArrow(
+        _fingerprint(width, num, den, frequent),
+        "doc_id long, r1 long, r2 long, k1 long, k2 long, n long, prefix array<long>, wide binary",
     )
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2"))
-    classes = prints.where("n > 0").groupBy("k1", "k2", "n").agg(first.alias("rep"), F.first("prefix").alias("prefix"))
-    classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    prints = stage(prints.withColumn("cid", F.monotonically_increasing_id()), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2", "cid"))
+    classes = prints.where("n > 0").groupBy("k1", "k2", "n").agg(first.alias("rep"))
+    classes = stage(classes.withColumn("cid", F.col("rep.cid")), "classes")
 
-    tokens = classes.select("cid", F.explode("prefix").alias("h"))
+    tokens = prints.join(classes.select("cid"), "cid").select("cid", F.explode("prefix").alias("h"))
     shared = tokens.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("top")).where("low < top")
-    postings = stage(tokens.join(shared.select("h"), "h"), "postings")
-
-    wanted = postings.select("cid").distinct().join(classes.select("cid", "rep.r1", "rep.r2"), "cid")
-    texts = stage(own.select("r1", "r2", "text").join(wanted, ["r1", "r2"]).select("cid", "text"), "texts")
-    if texts.count() > texts.select("cid").distinct().count():  # rows that repeat wholly
-        texts = stage(texts.groupBy("cid").agg(F.first("text").alias("text")), "texts")
-    signs = stage(texts.mapInArrow(_sign(width), "cid long, n long, bits binary, wide binary"), "signs")
+    shared = stage(shared.select("h"), "shared")
+    postings = stage(tokens.join(shared, "h"), "postings")
+    wanted = postings.select("cid").distinct()
+    signs = prints.select("cid", "n", "wide").join(wanted, "cid").mapInArrow(_sign, "cid long, n long, bits binary, wide binary")
+    signs = stage(signs, "signs")
 
     # Buckets with the same members need one search.
     counted = postings.groupBy("h").agg(
@@ -459,14 +468,14 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     chosen = stage(postings.join(buckets, "h"), "chosen")
 
     found = stage(_tree_search(chosen.withColumn("label", F.col("cid")), signs, num, den, True), "found")
-    links = stage(_links(found.where("a IS NOT NULL").drop("h"), texts, signs, width, num, den), "links")
+    links = stage(_links(found.where("a IS NOT NULL").drop("h"), own, classes, signs, width, num, den), "links")
     tied = stage(components(links).withColumnRenamed("id", "cid"), "tied")
 
     rest = chosen.join(found.where("a IS NULL").select("h").distinct(), "h", "left_semi").join(tied, "cid", "left")
     rest = stage(rest.withColumn("label", F.coalesce("root", "cid")).drop("root"), "rest")
     mixed = rest.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     more = _tree_search(rest.join(mixed.select("h"), "h"), signs, num, den, False).drop("h")
-    late = stage(_links(more, texts, signs, width, num, den), "links")
+    late = stage(_links(more, own, classes, signs, width, num, den), "links")
 
     whole = components(links.unionByName(late)).withColumnRenamed("id", "cid")
     rooted = classes.select("cid", "k1", "k2", "rep").join(whole, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
