@@ -211,6 +211,42 @@ def test_settled_result_outlives_what_it_was_made_from(spark):
         made[0].count()
 
 
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString("\n").split("\n")
+    return {n for n in names if n.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    import time
+
+    counts = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    before = _shuffle_files(spark)
+    with tables.shuffles_freed(spark):
+        freed = tables.stage(counts)
+        for _ in range(50):
+            if not _shuffle_files(spark) - before:
+                break
+            time.sleep(0.2)
+        assert not _shuffle_files(spark) - before
+    kept = tables.stage(counts)
+    assert _shuffle_files(spark) - before
+    assert sorted(freed.collect()) == sorted(kept.collect()) and freed.count() == 7
+
+
+def test_overlapping_scopes_restore_the_setting(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    at_first = spark.conf.get(setting, None)
+    one, two = tables.shuffles_freed(spark), tables.shuffles_freed(spark)
+    one.__enter__()
+    two.__enter__()
+    assert spark.conf.get(setting) == "true"
+    one.__exit__(None, None, None)
+    assert spark.conf.get(setting) == "true"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(setting, None) == at_first
+
+
 def test_errors_without_text_are_reported_by_kind():
     assert incremental._summary(RuntimeError()) == "RuntimeError"
     assert incremental._summary(ValueError("first\nsecond")) == "first"
