@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.labels import SAVED, STOPPED
 from holdfast.functions.scores import clip
-from holdfast.operators.quantiles import values_at_ranks
+from holdfast.operators.quantiles import BinnedCounts, values_at_ranks
 
 # A gamma proposal is rejected in under 5 % of cases, so the chance that none of
 # these is accepted is below 1e-40; the query fails then rather than bend a draw.
@@ -89,7 +89,7 @@ def draw_median_ranks(groups: DataFrame, keys: Sequence[str], iterations: int, s
 
 
 def median_difference_intervals(
-    counts: DataFrame,
+    counts: DataFrame | BinnedCounts,
     cell: Sequence[str],
     reference: DataFrame,
     iterations: int = 2000,

@@ -20,6 +20,8 @@ from holdfast.functions.labels import (
 from holdfast.operators.bootstrap import median_difference_intervals
 from holdfast.operators.population import ACCOUNT, METRICS, SEGMENT_FIELDS
 from holdfast.operators.quantiles import (
+    BinnedCounts,
+    binned_counts,
     interpolate,
     order_statistics,
     regroup_counts,
@@ -47,24 +49,25 @@ def population_counts(
     df: DataFrame,
     metrics: Sequence[str] = METRICS,
     segment_fields: Sequence[str] = SEGMENT_FIELDS,
-) -> DataFrame:
-    """Value counts at the finest grouping the steps below use.
+) -> BinnedCounts:
+    """Value counts at the finest grouping the steps below use, with the bins of their values.
 
     Passed as `counts`, it serves the reference, the profiles, the treatment
     drill-down and the details from one scan of the account rows.
     """
-    return value_counts(df, ["outcome", *segment_fields, "Treatment"], metrics)
+    return binned_counts(df, ["outcome", *segment_fields, "Treatment"], metrics)
 
 
-def reference_from_counts(counts: DataFrame, metrics: Sequence[str]) -> DataFrame:
+def reference_from_counts(counts: DataFrame | BinnedCounts, metrics: Sequence[str]) -> DataFrame:
     """Reference from counts of any grouping that has a row per metric and value."""
-    if set(counts.columns) != {"metric", "value", "n"}:
+    binned = isinstance(counts, BinnedCounts)
+    if not binned and set(counts.columns) != {"metric", "value", "n"}:
         counts = regroup_counts(counts, [])
     wanted = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
     fitted = order_statistics(counts, ["metric"], wanted).select(
         "metric", *[interpolate(p).alias(p) for p in wanted]
     )
-    listed = df_of_names(counts, metrics)
+    listed = df_of_names(counts.totals if binned else counts, metrics)
     spread = F.coalesce(
         F.nullif(F.col("p75") - F.col("p25"), F.lit(0.0)),
         F.nullif(F.col("p99") - F.col("p01"), F.lit(0.0)),
@@ -132,7 +135,7 @@ def _scored(value: Column) -> Column:
 
 
 def _medians(
-    counts: DataFrame, keys: Sequence[str], metrics: Sequence[str], reference: DataFrame
+    counts: DataFrame | BinnedCounts, keys: Sequence[str], metrics: Sequence[str], reference: DataFrame
 ) -> DataFrame:
     """Raw and score medians in wide form: `raw__m`, `score__m` per group.
 
@@ -160,13 +163,11 @@ def behavior_profiles(
     metrics: Sequence[str] = METRICS,
     segment_fields: Sequence[str] = ("outcome", *SEGMENT_FIELDS),
     min_n: int = MIN_PROFILE_USERS,
-    counts: DataFrame | None = None,
+    counts: BinnedCounts | None = None,
 ) -> DataFrame:
     """Profile of every segment with enough accounts, strongest first."""
     if counts is None:
         counts = value_counts(df, segment_fields, metrics)
-    else:
-        counts = regroup_counts(counts, segment_fields)
     users = (
         df.groupBy(*segment_fields)
         .agg(F.count_distinct(ACCOUNT).alias("users"))
@@ -281,7 +282,7 @@ def treatment_contrasts(
     segment_fields: Sequence[str] = SEGMENT_FIELDS,
     top_n: int = TOP_CONTRASTS,
     min_n: int = MIN_TREATMENT_USERS,
-    counts: DataFrame | None = None,
+    counts: BinnedCounts | None = None,
 ) -> DataFrame:
     """The strongest segments split by treatment, empty cells included."""
     selected = top_segments(contrasts, top_n).select(
@@ -299,7 +300,7 @@ def treatment_contrasts(
     if counts is None:
         counts = value_counts(rows, by_outcome, metrics)
     else:
-        counts = regroup_counts(in_cells(counts), by_outcome)
+        counts = counts.map(in_cells)
     users = rows.groupBy(*by_outcome).agg(F.count_distinct(ACCOUNT).alias("users"))
     medians = _medians(counts, by_outcome, metrics, reference)
     stats = null_safe_join(users, medians, by_outcome, "left")
@@ -364,7 +365,7 @@ def segment_details(
     bootstrap_iterations: int = 0,
     confidence_level: float = 0.95,
     seed: int = 42,
-    counts: DataFrame | None = None,
+    counts: BinnedCounts | None = None,
 ) -> DataFrame:
     """Business-unit spread of the selected segments, one row per metric.
 
@@ -384,7 +385,7 @@ def segment_details(
     if counts is None:
         counts = value_counts(in_segments(df), [*cell, "outcome"], metrics)
     else:
-        counts = regroup_counts(in_segments(counts), [*cell, "outcome"])
+        counts = counts.map(in_segments)
     stats = _with_reference(
         order_statistics(counts, [*cell, "outcome", "metric"], {"p25": 0.25, "p75": 0.75}),
         reference,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.dates import inference_date
 from holdfast.operators.population import label_population, subset
 from holdfast.operators.profile import population_counts
+from holdfast.operators.quantiles import BinnedCounts
 from holdfast.operators.outcome import ContactDays
 from holdfast.plans.experiment import ExperimentTables, contact_days, linked_assignments, outcomes
 from holdfast.sources.tables import stage
@@ -303,7 +304,7 @@ class Views:
         return stage(self.analysis, "analysis")
 
     @cached_property
-    def analysis_counts(self) -> DataFrame:
+    def analysis_counts(self) -> BinnedCounts:
         return population_counts(self.staged_analysis)
 
     @cached_property

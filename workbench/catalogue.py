@@ -22,7 +22,6 @@ from holdfast.operators import (
     profile,
     quality,
     quality_state,
-    quantiles,
     rates,
     revenue,
 )
@@ -1053,8 +1052,7 @@ def d18_segment_details(v: Views) -> DataFrame:
 def d19_bootstrap_intervals(v: Views) -> DataFrame:
     reference = _reference(v)
     selected = profile.top_segments(_contrasts(v, reference), TOP).select("segment_rank", *SEGMENTS)
-    matched = profile.match_segments(v.analysis_counts, selected, SEGMENTS)
-    counts = quantiles.regroup_counts(matched, ["segment_rank", "outcome"])
+    counts = v.analysis_counts.map(lambda rows: profile.match_segments(rows, selected, SEGMENTS))
     return tidy(
         bootstrap.median_difference_intervals(
             counts, ["segment_rank"], reference, BOOTSTRAP, 0.95, seed=42
