@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
-from holdfast.sources.tables import stage
+from holdfast.sources.tables import settle, shuffles_freed, stage
 
 #: Bands and bins of a band, as powers of two: 8 and 4.
 _BAND_BITS, _ROW_BITS = 3, 2
@@ -129,6 +129,23 @@ def _links(pairs: DataFrame, distinct: DataFrame, width: int, num: int, den: int
     return sizes.where(F.col("common") * den >= (F.col("nx") + F.col("ny") - F.col("common")) * num).select("a", "b")
 
 
+def _tied(distinct: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(lid, root) of every line (lid, line) that links with another."""
+    banded = stage(band_keys(distinct, width), "bands")
+    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high"), F.count("*").alias("members"))
+    ends = ends.where("low < high")
+    met = banded.join(ends, "band").select("lid", F.explode(F.array("low", "high")).alias("other"))
+    pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()
+    links = stage(_links(stage(pairs, "pairs"), distinct, width, num, den), "links")
+    tied = components(links).withColumnRenamed("id", "lid")
+    rest = stage(_rest(distinct, banded, ends, tied, width, num, den), "rest")
+    more = stage(_links(rest, distinct, width, num, den), "more")
+    if not more.isEmpty():
+        edges = more.unionByName(tied.select(F.col("lid").alias("a"), F.col("root").alias("b")))
+        tied = components(edges).withColumnRenamed("id", "lid")
+    return tied
+
+
 def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
@@ -140,24 +157,20 @@ def line_decisions(docs: DataFrame, width: int = 7, num: int = 80, den: int = 10
     lines are one. The line that stays is the one with the smallest doc_id (nulls last), then row (a
     hash of the text), then number. Blank lines stay; a null text is one blank line. Rows that repeat
     doc_id and text wholly share one result row, with `copies`.
+
+    What the search for links stages and shuffles is deleted on the way: it holds the disk of one step.
     """
+    with shuffles_freed(docs.sparkSession):
+        return _decisions(docs, width, num, den)
+
+
+def _decisions(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")
     lines = _numbered(docs).select("doc_id", "row", "n", "line", *_hashes())
     distinct = lines.groupBy("h1", "h2").agg(F.min(where).alias("at"), F.first("line").alias("line"))
     distinct = stage(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
-    banded = stage(band_keys(distinct, width), "bands")
-    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high"), F.count("*").alias("members"))
-    ends = ends.where("low < high")
-    met = banded.join(ends, "band").select("lid", F.explode(F.array("low", "high")).alias("other"))
-    pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()
-    links = stage(_links(stage(pairs, "pairs"), distinct, width, num, den), "links")
-    tied = components(links).withColumnRenamed("id", "lid")
-    rest = stage(_rest(distinct, banded, ends, tied, width, num, den), "rest")
-    more = stage(_links(rest, distinct, width, num, den), "more")
-    if not more.isEmpty():
-        edges = more.unionByName(tied.select(F.col("lid").alias("a"), F.col("root").alias("b")))
-        tied = components(edges).withColumnRenamed("id", "lid")
+    tied = settle(docs.sparkSession, lambda: _tied(distinct, width, num, den), "tied")
 
     heads = distinct.select("lid", "h1", "h2", "at").join(tied, "lid", "left").withColumn("root", F.coalesce("root", "lid"))
     first = heads.groupBy("root").agg(F.min("at").alias("keep"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import jaccard_join, line_dedup
 from holdfast.llm.components import components
+from holdfast.sources import tables
 
 
 def closure(nodes, links):
@@ -152,6 +153,31 @@ def test_line_dedup_keeps_the_first_of_each_component(spark):
     assert line_dedup.line_decisions(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_holds_the_disk_of_one_step(spark):
+    """Bands, pairs and links are deleted when the components are known; shuffle files go with their step."""
+    import os
+    import time
+
+    def shuffle_files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = manager.getAllFiles().mkString("\n").split("\n")
+        return {n for n in names if n.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+    rows = [(i, f"some words of line {i % 7} that many texts share\nown {i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = shuffle_files()
+    with tables.staging(spark) as folder:
+        found = line_dedup.line_decisions(docs)
+        at = folder.removeprefix("file:")
+        assert {name for run in os.listdir(at) for name in os.listdir(f"{at}/{run}")} == {"lines", "tied"}
+        for _ in range(50):
+            if not shuffle_files() - before:
+                break
+            time.sleep(0.2)
+        assert not shuffle_files() - before
+        assert found.count() == 30
+
+
 def test_line_dedup_links_what_brute_force_links(spark):
     """Every line pair that is dropped is tied by true links; nearly all true links are found."""
     rng = random.Random(9)
