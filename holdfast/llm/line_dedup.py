@@ -23,35 +23,50 @@ from holdfast.sources.tables import settle, shuffles_freed, stage
 _BAND_BITS, _ROW_BITS = 3, 2
 #: Lines of a block; larger bands are dealt out as pairs of blocks.
 BLOCK = 512
-#: 64-bit words of a line's bitmap, as a power of two.
-_WORD_BITS = 2
+#: Shingles that start in a block of a line.
+_STARTS = 24
+#: 64-bit words of a line's bitmap, a power of two.
+WORDS = 16
+
+
+def _blocks(line: Column, width: int) -> Column:
+    """A line cut into blocks that hold the starts of _STARTS shingles each, and the rest of the last one."""
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{1,{_STARTS + width - 1}}})).{{1,{_STARTS}}}"), F.lit(1))
 
 
 def shingles(line: Column, width: int) -> Column:
     """Hashes of all runs of `width` characters; a shorter line is one shingle."""
-    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
-    whole = F.when(F.size(runs) > 0, runs).otherwise(F.array(line))
-    return F.transform(whole, lambda s: F.xxhash64(s))
 
+    def runs(block: Column) -> Column:
+        last = F.length(block) - (width - 1)
+        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(block, i, F.lit(width))))
 
-def least_of_bins(hashes: Column) -> Column:
-    """The smallest hash of each bin; `hashes` is ascending and the first bits are the bin."""
-    shift = 64 - _BAND_BITS - _ROW_BITS
+    whole = F.length(line) < width
+    return F.when(whole, F.array(F.xxhash64(line))).otherwise(F.flatten(F.transform(_blocks(line, width), runs)))
 
-    def opens(h: Column, i: Column) -> Column:
-        before = F.get(hashes, i - 1)
-        return (i == 0) | (F.shiftrightunsigned(h, shift) != F.shiftrightunsigned(before, shift))
 
-    return F.filter(hashes, opens)
+def shingle_rows(lines: DataFrame, width: int) -> DataFrame:
+    """(lid, h): a row for each run of `width` characters of (lid, line), with its hash as `shingles` makes it.
 
-
-def bands(signature: Column) -> Column:
-    """A key for each band that isn't empty."""
-    shift = 64 - _BAND_BITS
-    filled = F.array_distinct(F.transform(signature, lambda h: F.shiftrightunsigned(h, shift)))
-    return F.transform(
-        filled, lambda band: F.xxhash64(band, F.filter(signature, lambda h: F.shiftrightunsigned(h, shift) == band))
+    A character string is walked to a place within it, bytes are not: blocks keep the walk short, and
+    those of ASCII only are read as bytes.
+    """
+    block = F.posexplode(_blocks(F.col("line"), width)).alias("at", "block")
+    last = F.length("block") - (width - 1)
+    cut = lines.select("lid", block).select(
+        "lid",
+        "block",
+        F.col("block").cast("binary").alias("bytes"),
+        (F.octet_length("block") == F.length("block")).alias("ascii"),
+        F.when(F.col("at") == 0, F.greatest(last, F.lit(1))).otherwise(last).alias("last"),
     )
+    starts = cut.where("last > 0").select("lid", "block", "bytes", "ascii", F.explode(F.sequence(F.lit(1), "last")).alias("i"))
+
+    def run(text: str) -> Column:
+        return F.xxhash64(F.substring(text, F.col("i"), F.lit(width)))
+
+    return starts.select("lid", F.when(F.col("ascii"), run("bytes")).otherwise(run("block")).alias("h"))
 
 
 def _once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
@@ -62,10 +77,21 @@ def _once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
 
 
 def band_keys(lines: DataFrame, width: int) -> DataFrame:
-    """(lid, band) of every line (lid, line) and each of its bands."""
-    hashed = _once(lines, "lid", hashes=F.sort_array(shingles(F.col("line"), width)))
-    signed = _once(hashed, "lid", signature=least_of_bins(F.col("hashes")))
-    return signed.select("lid", F.explode(bands(F.col("signature"))).alias("band"))
+    """(lid, band) of every line (lid, line) and each of its bands that isn't empty.
+
+    A hash's first bits are its band and bin; of the others 31 are compared. That two lines that differ
+    meet by the cut is as rare as it is harmless: pairs that meet are compared on whole shingle sets.
+    """
+    low = 64 - _BAND_BITS - _ROW_BITS
+    placed = shingle_rows(lines, width).select(
+        "lid",
+        F.shiftrightunsigned("h", 64 - _BAND_BITS).cast("int").alias("n"),
+        F.shiftrightunsigned("h", low).bitwiseAND((1 << _ROW_BITS) - 1).cast("int").alias("bin"),
+        F.shiftrightunsigned("h", low - 31).bitwiseAND((1 << 31) - 1).cast("int").alias("rest"),
+    )
+    least = [F.min(F.when(F.col("bin") == k, F.col("rest"))).alias(f"m{k}") for k in range(1 << _ROW_BITS)]
+    key = F.xxhash64("n", *(F.coalesce(f"m{k}", F.lit(-1)) for k in range(1 << _ROW_BITS)))
+    return placed.groupBy("lid", "n").agg(*least).select("lid", key.alias("band"))
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -76,16 +102,22 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return lines.where(F.trim("line") != "")
 
 
-def _bitmap(hashes: Column) -> list[Column]:
-    """Words of a bitmap: bits that differ are at most as many as shingles that are in one set only."""
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+def _sketches(lines: DataFrame, width: int) -> DataFrame:
+    """(lid, size, w0, w1, ...): size of a line's shingle set and a bitmap, in which each shingle turns one bit.
 
-    def word(n: int) -> Column:
-        own = F.filter(hashes, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND((1 << _WORD_BITS) - 1) == n)
-        bits = F.transform(own, lambda h: F.call_function("shiftleft", one, h.bitwiseAND(63).cast("int")))
-        return F.aggregate(bits, none, lambda all_, bit: all_.bitwiseOR(bit))
-
-    return [word(n) for n in range(1 << _WORD_BITS)]
+    Shingles of both of two lines cancel out: bits that differ are at most as many as shingles in one set only.
+    """
+    sets = _once(lines, "lid", hashes=F.array_distinct(shingles(F.col("line"), width)))
+    rows = sets.select("lid", F.explode("hashes").alias("h"))
+    # Not the first bits: within a band these are the same for lines that meet.
+    placed = rows.select(
+        "lid",
+        F.shiftrightunsigned("h", 6).bitwiseAND(WORDS - 1).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(63).cast("int")).alias("bit"),
+    )
+    none = F.lit(0).cast("long")
+    words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(none)).alias(f"w{k}") for k in range(WORDS)]
+    return placed.groupBy("lid").agg(F.count("*").cast("int").alias("size"), *words)
 
 
 def _rest(distinct: DataFrame, banded: DataFrame, ends: DataFrame, tied: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -99,10 +131,8 @@ def _rest(distinct: DataFrame, banded: DataFrame, ends: DataFrame, tied: DataFra
     split = split.where("one < two").select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     inner = stage(inner.join(split, "band"), "inner")
 
-    lines = distinct.join(inner.select("lid").distinct(), "lid", "left_semi")
-    hashed = _once(lines, "lid", hashes=F.array_distinct(shingles(F.col("line"), width)))
-    words = [f"w{i}" for i in range(1 << _WORD_BITS)]
-    sketch = hashed.select("lid", F.size("hashes").alias("size"), *(w.alias(c) for c, w in zip(words, _bitmap(F.col("hashes")), strict=True)))
+    words = [f"w{i}" for i in range(WORDS)]
+    sketch = stage(_sketches(_texts(distinct, inner.select("lid")), width), "sketches")
     cells = inner.withColumn("own", F.pmod(F.xxhash64("lid"), F.col("blocks")).cast("int"))
     cells = cells.join(sketch, "lid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select(
@@ -119,9 +149,14 @@ def _rest(distinct: DataFrame, banded: DataFrame, ends: DataFrame, tied: DataFra
     return pairs.select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b")).distinct()
 
 
+def _texts(distinct: DataFrame, lids: DataFrame) -> DataFrame:
+    """(lid, line) of the lines in `lids`. The ids are hashed, so the texts of all lines are not sorted."""
+    return distinct.select("lid", "line").join(lids.distinct().hint("shuffle_hash"), "lid", "left_semi")
+
+
 def _links(pairs: DataFrame, distinct: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) of lines that link, by their whole shingle sets."""
-    text = distinct.select("lid", "line")
+    text = stage(_texts(distinct, pairs.select(F.explode(F.array("a", "b")).alias("lid"))), "texts")
     one, two = text.toDF("a", "line_a"), text.toDF("b", "line_b")
     both = pairs.join(one, "a").join(two, "b")
     sets = _once(both, "a", "b", x=F.array_distinct(shingles(F.col("line_a"), width)), y=F.array_distinct(shingles(F.col("line_b"), width)))

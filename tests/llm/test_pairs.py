@@ -251,3 +251,40 @@ def test_line_dedup_compares_all_lines_that_meet_in_a_band(spark, monkeypatch):
     dropped, true = dropped_and_true(spark, lines)
     assert len(want) >= 0.97 * len(true)
     assert dropped == want
+
+
+def test_line_shingles_are_rows_without_lambdas(spark):
+    """Hashed by compiled code, across blocks of lines, in and beyond ASCII; every shingle meets as in a whole set."""
+    start = line_dedup._STARTS
+    base = "abcdefghij klmnopqrst uvwxyz 0123456789 " * 4
+    lines = [base[:n] for n in (1, 6, 7, 8, start, start + 5, start + 6, start + 7, 2 * start, 2 * start + 6, 2 * start + 7, 150)]
+    lines += [line.replace("k", "é").replace("q", "世").replace("b", "𝄞") for line in lines] + [" \t\r", "x\r y zzzzzzzzzzz"]
+    table = spark.createDataFrame(list(enumerate(lines)), "lid long, line string").coalesce(1)
+    rows = line_dedup.shingle_rows(table, 7)
+    assert "lambda" not in line_dedup.band_keys(table, 7)._jdf.queryExecution().optimizedPlan().toString()
+    runs = [[s[i : i + 7] for i in range(max(len(s) - 6, 1))] for s in lines]
+    flat = spark.createDataFrame([(i, r) for i, own in enumerate(runs) for r in own], "lid long, run string")
+    want = sorted(map(tuple, flat.select("lid", F.xxhash64("run")).collect()))
+    assert sorted(map(tuple, rows.collect())) == want
+    arrays = table.select("lid", F.explode(line_dedup.shingles(F.col("line"), 7)))
+    assert sorted(map(tuple, arrays.collect())) == want
+
+
+def test_line_sketches_rule_out_lines_that_do_not_link(spark):
+    """Variants of a template at similarities of 0.5 to 0.9: no link is lost, few others are left."""
+    rng = random.Random(31)
+    template = "".join(rng.choice("abcdefghijklmnop ") for _ in range(330))
+    lines = [template]
+    for n in range(60):
+        at = set(rng.sample(range(330), n // 3 + 1))
+        lines.append("".join("Z" if k in at else c for k, c in enumerate(template)))
+    table = spark.createDataFrame(list(enumerate(lines)), "lid long, line string")
+    banded = spark.createDataFrame([(1, i) for i in range(len(lines))], "band long, lid long")
+    ends = spark.createDataFrame([(1, -1, -2, len(lines))], "band long, low long, high long, members long")
+    tied = spark.createDataFrame([], "lid long, root long")
+    found = {(r["a"], r["b"]) for r in line_dedup._rest(table, banded, ends, tied, 7, 80, 100).collect()}
+    sets = [{s[i : i + 7] for i in range(len(s) - 6)} for s in lines]
+    pairs = [(i, j) for j in range(len(lines)) for i in range(j)]
+    links = {(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert links and links <= found
+    assert len(found - links) <= 0.05 * (len(pairs) - len(links))
