@@ -156,7 +156,7 @@ def _texts(distinct: DataFrame, lids: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, distinct: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Those of the pairs (a, b) of lines that link, by their whole shingle sets."""
-    text = stage(_texts(distinct, pairs.select(F.explode(F.array("a", "b")).alias("lid"))), "texts")
+    text = distinct.select("lid", "line")
     one, two = text.toDF("a", "line_a"), text.toDF("b", "line_b")
     both = pairs.join(one, "a").join(two, "b")
     sets = _once(both, "a", "b", x=F.array_distinct(shingles(F.col("line_a"), width)), y=F.array_distinct(shingles(F.col("line_b"), width)))
@@ -164,17 +164,25 @@ def _links(pairs: DataFrame, distinct: DataFrame, width: int, num: int, den: int
     return sizes.where(F.col("common") * den >= (F.col("nx") + F.col("ny") - F.col("common")) * num).select("a", "b")
 
 
+def _meetings(banded: DataFrame) -> DataFrame:
+    """(band, lid, low, high, members) of each line (lid, band) and band that holds more than one line."""
+    banded = banded.repartition("band")
+    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high"), F.count("*").alias("members"))
+    met = banded.join(ends.where("low < high").hint("shuffle_hash"), "band")
+    return met.select("band", "lid", "low", "high", "members")
+
+
 def _tied(distinct: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(lid, root) of every line (lid, line) that links with another."""
-    banded = stage(band_keys(distinct, width), "bands")
-    ends = banded.groupBy("band").agg(F.min("lid").alias("low"), F.max("lid").alias("high"), F.count("*").alias("members"))
-    ends = ends.where("low < high")
-    met = banded.join(ends, "band").select("lid", F.explode(F.array("low", "high")).alias("other"))
-    pairs = met.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()
-    links = stage(_links(stage(pairs, "pairs"), distinct, width, num, den), "links")
+    met = stage(_meetings(band_keys(distinct, width)), "met")
+    near = stage(_texts(distinct, met.select("lid")), "texts")
+    pairs = met.select("lid", F.explode(F.array("low", "high")).alias("other"))
+    pairs = pairs.select(F.least("lid", "other").alias("a"), F.greatest("lid", "other").alias("b")).where("a < b").distinct()
+    links = stage(_links(stage(pairs, "pairs"), near, width, num, den), "links")
     tied = components(links).withColumnRenamed("id", "lid")
-    rest = stage(_rest(distinct, banded, ends, tied, width, num, den), "rest")
-    more = stage(_links(rest, distinct, width, num, den), "more")
+    ends = met.where("lid = low").drop("lid")
+    rest = stage(_rest(near, met.select("band", "lid"), ends, tied, width, num, den), "rest")
+    more = stage(_links(rest, near, width, num, den), "more")
     if not more.isEmpty():
         edges = more.unionByName(tied.select(F.col("lid").alias("a"), F.col("root").alias("b")))
         tied = components(edges).withColumnRenamed("id", "lid")
@@ -202,15 +210,18 @@ def line_decisions(docs: DataFrame, width: int = 7, num: int = 80, den: int = 10
 def _decisions(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     where = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")
     lines = _numbered(docs).select("doc_id", "row", "n", "line", *_hashes())
-    distinct = lines.groupBy("h1", "h2").agg(F.min(where).alias("at"), F.first("line").alias("line"))
+    distinct = lines.groupBy("h1", "h2").agg(F.min(where).alias("at"), F.first("line").alias("line"), F.count("*").alias("places"))
     distinct = stage(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines")
 
     tied = settle(docs.sparkSession, lambda: _tied(distinct, width, num, den), "tied")
 
-    heads = distinct.select("lid", "h1", "h2", "at").join(tied, "lid", "left").withColumn("root", F.coalesce("root", "lid"))
+    # A line that stands in one place and is tied to no other stays.
+    known = distinct.select("lid", "h1", "h2", "at", "places")
+    heads = known.join(tied.hint("shuffle_hash"), "lid")
     first = heads.groupBy("root").agg(F.min("at").alias("keep"))
-    kept = heads.join(first, "root").select("h1", "h2", "keep")
-    places = lines.select("doc_id", "row", "n", "h1", "h2").join(kept, ["h1", "h2"])
+    alone = known.where("places > 1").join(tied, "lid", "left_anti")
+    kept = heads.join(first, "root").select("h1", "h2", "keep").unionByName(alone.select("h1", "h2", F.col("at").alias("keep")))
+    places = lines.select("doc_id", "row", "n", "h1", "h2").join(kept.hint("shuffle_hash"), ["h1", "h2"])
     lost = places.where(~F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n").eqNullSafe(F.col("keep")))
     gone = lost.select("doc_id", "row", "n").distinct().groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("n")).alias("dropped"))
 

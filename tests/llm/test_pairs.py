@@ -288,3 +288,31 @@ def test_line_sketches_rule_out_lines_that_do_not_link(spark):
     links = {(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert links and links <= found
     assert len(found - links) <= 0.05 * (len(pairs) - len(links))
+
+
+def test_line_bands_are_shuffled_once(spark):
+    """The lines that meet with the ends of their bands: the bands are dealt out once for both."""
+    rows = [(i, i % 5) for i in range(40)] + [(i, 100 + i) for i in range(40)]
+    met = line_dedup._meetings(spark.createDataFrame(rows, "lid long, band long"))
+    got = sorted(map(tuple, met.collect()))
+    assert got == sorted((i % 5, i, i % 5, i % 5 + 35, 8) for i in range(40))
+    plan = met._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len(dealt) == 2
+
+
+def test_line_dedup_joins_only_places_of_repeated_lines(spark):
+    """Lines that repeat, are tied, are both, or stand alone; rows that repeat wholly and null ids."""
+    base = "The quick brown fox jumps over the lazy dog near the river bank today"
+    rows = [(3, f"{base}\nalone in the third\nrepeated"), (1, f"{base}!\nrepeated\nrepeated"), (2, f"{base}\nalone in the second")]
+    rows += [(3, rows[0][1]), (None, "repeated\nof the null id"), (None, f"{base}?"), (4, "no line of others\n\n ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = line_dedup.line_decisions(docs)
+    got = sorted((r["doc_id"] or 0, r["n_lines"], r["copies"], list(r["dropped"])) for r in found.collect())
+    assert got == [(0, 1, 1, [0]), (0, 2, 1, [0]), (1, 3, 1, [2]), (2, 2, 1, [0]), (3, 3, 2, [0, 2]), (4, 3, 1, [])]
+    with tables.staging(spark) as folder:
+        line_dedup.line_decisions(docs)
+        import glob
+
+        lines = spark.read.parquet(*glob.glob(folder.removeprefix("file:") + "/*/lines"))
+        assert {r["places"] for r in lines.collect()} == {1, 2, 3, 5}
