@@ -316,3 +316,25 @@ def test_line_dedup_joins_only_places_of_repeated_lines(spark):
 
         lines = spark.read.parquet(*glob.glob(folder.removeprefix("file:") + "/*/lines"))
         assert {r["places"] for r in lines.collect()} == {1, 2, 3, 5}
+
+
+def test_line_bands_are_grouped_by_one_number(spark):
+    """Bands are those of (line, band number) grouped by hand; ids are as large as `monotonically_increasing_id` makes them."""
+    ids = [0, 1, 7, 8, (1 << 33) + 5, (5000 << 33) + 3]
+    texts = ["short", "seven c", "the quick brown fox jumps over the lazy dog " * 3, "fa\u00e7ade \u00fcber \u6f22\u5b57 \U0001f600 " * 9, "a" * 60, "x y z " * 40]
+    table = spark.createDataFrame(list(zip(ids, texts, strict=True)), "lid long, line string")
+    least = {}
+    for r in line_dedup.shingle_rows(table, 7).collect():
+        h = r["h"] & ((1 << 64) - 1)
+        bins = least.setdefault((r["lid"], h >> 61), [None] * 4)
+        k, rest = (h >> 59) & 3, (h >> 28) & ((1 << 31) - 1)
+        bins[k] = rest if bins[k] is None else min(bins[k], rest)
+    rows = [(lid, n, *(-1 if m is None else m for m in bins)) for (lid, n), bins in least.items()]
+    wanted = spark.createDataFrame(rows, "lid long, n int, m0 int, m1 int, m2 int, m3 int")
+    wanted = wanted.select("lid", F.xxhash64("n", "m0", "m1", "m2", "m3").alias("band"))
+    found = line_dedup.band_keys(table, 7)
+    assert found.columns == wanted.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    (dealt,) = [line for line in plan.split("\n") if "Exchange" in line]
+    assert "hashpartitioning(slot#" in dealt
